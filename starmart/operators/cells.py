@@ -1,0 +1,58 @@
+"""Cutting a sort order into cells of even size, so that no task has to hold a whole group.
+
+A window over (season) or (driver) puts a whole season or driver into one task. The
+operators in `windows` instead work cell by cell and carry a small per-cell summary from
+one cell to the next. Cells come from quantiles of the leading order column over *all* rows,
+so a cell holds about 1/n of the rows whatever the sizes of the groups are. A value so
+frequent that it fills a cell alone gets a cell of its own, which is cut again by the next
+order column. Where the cuts fall changes only the balance, never the result.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starmart.functions.scalars import order_number
+
+ROWS_PER_CELL = "starmart.rowsPerCell"
+MAX_CELLS = 4096
+CELL = "__cell"
+
+
+def cells_needed(df: DataFrame) -> int:
+    """How many cells bring a task down to the set number of rows; 1 means that a plain window is safe."""
+    per_cell = int(df.sparkSession.conf.get(ROWS_PER_CELL, "1000000"))
+    return max(1, min(MAX_CELLS, math.ceil(df.count() / per_cell)))
+
+
+def with_cells(df: DataFrame, order_by: list[str], cells: int) -> DataFrame:
+    """Add ``__cell``, an integer that never decreases along ``order_by`` (ascending, nulls last)."""
+    from pyspark.ml.feature import Bucketizer
+
+    numbers = [f"__order{i}" for i in range(len(order_by))]
+    placed = df.withColumns({n: order_number(df, c) for n, c in zip(numbers, order_by)})
+    cell, tied, rest = F.lit(0).cast("bigint"), F.lit(True), placed.select(*numbers)
+    made = []
+    for number in numbers:
+        # at most MAX_CELLS numbers reach the driver
+        cuts = rest.approxQuantile(number, [i / cells for i in range(1, cells)], 1 / (4 * cells))
+        frequent = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+        splits = sorted(set(cuts) | {math.nextafter(v, math.inf) for v in frequent})
+        if not splits:
+            break
+        index = f"{number}_at"
+        made.append(index)
+        bucketizer = Bucketizer(
+            splits=[-math.inf, *splits, math.inf], inputCol=number, outputCol=index, handleInvalid="keep"
+        )
+        placed = bucketizer.transform(placed)
+        step = F.when(tied, F.col(index).cast("bigint")).otherwise(F.lit(0))
+        cell = cell * F.lit(len(splits) + 2) + step
+        if not frequent:
+            break
+        tied = tied & F.col(number).isin(frequent)
+        rest = rest.filter(F.col(number).isin(frequent))
+    return placed.withColumn(CELL, cell).drop(*numbers, *made)

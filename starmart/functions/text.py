@@ -52,5 +52,5 @@ def lenient(raw: Column, target: T.DataType) -> Column:
 
 
 def parse_time(raw: Column) -> Column:
-    """ISO text to a timestamp, NULL if it cannot be read."""
-    return F.try_to_timestamp(raw)
+    """ISO text to a timestamp, NULL if it cannot be read (without the cost of an exception per bad row)."""
+    return raw.try_cast("timestamp")

@@ -19,18 +19,16 @@ def decode_messages(raw: DataFrame, schema: T.StructType, value: str = "value",
     decode to the integer 1. Text that is not one JSON object is kept in ``_corrupt_record``
     (NULL for a good row). ``keep`` names columns of ``raw`` to carry along.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    as_text.add(CORRUPT, T.StringType())
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, CORRUPT]])
     text = F.col(value).cast("string")
-    parsed = raw.select(
-        *(keep or []),
-        text.alias("__text"),
-        F.from_json(text, as_text, {"columnNameOfCorruptRecord": CORRUPT}).alias("data"),
-    )
-    unreadable = F.when(F.col("data").isNull(), F.coalesce(F.col("__text"), F.lit(""))).otherwise(
-        F.col(f"data.{CORRUPT}")
-    )
-    fields = [lenient(F.col("data")[f.name], f.dataType).alias(f.name) for f in schema]
+    # inline() makes the parsed fields columns of their own, so that a later filter on one of
+    # them works on the parsed text and does not parse the message a second time
+    data = F.from_json(text, as_text, {"columnNameOfCorruptRecord": CORRUPT})
+    names = [f"__{name}" for name in as_text.names]
+    parsed = raw.select(*(keep or []), text.alias("__text"), F.inline(F.array(data)).alias(*names))
+    empty = F.col("__text").isNull() | (F.trim("__text") == "")
+    unreadable = F.when(empty, F.coalesce(F.col("__text"), F.lit(""))).otherwise(F.col(f"__{CORRUPT}"))
+    fields = [lenient(F.col(f"__{f.name}"), f.dataType).alias(f.name) for f in schema]
     return parsed.select(*(keep or []), *fields, unreadable.alias(CORRUPT))
 
 

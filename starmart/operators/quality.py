@@ -23,9 +23,9 @@ def row_rules(
 
 
 def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """The rows that break any rule, with the list of rules they break."""
-    broken = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules.items()]))
-    return df.withColumn("_rules", broken).filter(F.size("_rules") > 0)
+    """The rows that break any rule, with the names of the broken rules as comma-separated text."""
+    broken = F.concat_ws(",", *[F.when(condition, F.lit(name)) for name, condition in rules.items()])
+    return df.withColumn("_rules", broken).filter(F.col("_rules") != "")
 
 
 def rule_counts(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:

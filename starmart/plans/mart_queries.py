@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import clean, marts, windows
 from starmart.plans import serving
-from starmart.plans.registry import drivers, order_results, plain, query, table, totals
+from starmart.plans.registry import drivers, hundredths, money, order_results, plain, query, table, totals
 from starmart.sources.staging import stage
 
 RESULTS_SQL = """
@@ -38,7 +38,7 @@ def _driver_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {RESULTS_SQL} SELECT * FROM driver_ranked")
 def driver_standings(spark, sf_dir):
     names = drivers(spark, sf_dir)
-    return plain(marts.driver_standings(order_results(spark, sf_dir), names, measures=totals()))
+    return plain(money(marts.driver_standings(order_results(spark, sf_dir), names, measures=totals())))
 
 
 @query(
@@ -53,7 +53,7 @@ def team_standings(spark, sf_dir):
     # totals per driver first: far fewer rows meet the driver table than order lines
     teams = _driver_totals(spark, sf_dir).join(drivers(spark, sf_dir), "driver_id", "left")
     measures = {"total_points": F.sum("total_points"), "wins": F.sum("wins")}
-    return plain(marts.team_standings(teams, measures=measures))
+    return plain(money(marts.team_standings(teams, measures=measures)))
 
 
 @query(
@@ -104,7 +104,7 @@ def team_rank(spark, sf_dir):
 def team_season_rank(spark, sf_dir):
     entries = _driver_totals(spark, sf_dir).join(drivers(spark, sf_dir), "driver_id", "left")
     entries = stage(entries.select("year", "team", "driver_id", "total_points"), "entries")
-    return plain(clean.team_season_rank(entries, score="total_points"))
+    return plain(money(clean.team_season_rank(entries, score="total_points")))
 
 
 COMPARED = [7, 42]
@@ -115,7 +115,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_linenumber").alias("position"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("points"),
+        hundredths("l_extendedprice").alias("points"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("driver_id"))
     return lines.join(orders, "o_orderkey")
@@ -130,12 +130,12 @@ COMPARE_SQL = """
 
 @query(f"WITH {RESULTS_SQL} " + COMPARE_SQL.format(where="WHERE driver_id IN (7, 42)"))
 def compare_entities(spark, sf_dir):
-    return plain(marts.compare_entities(_lines(spark, sf_dir), among=COMPARED))
+    return plain(money(marts.compare_entities(_lines(spark, sf_dir), among=COMPARED)))
 
 
 @query(f"WITH {RESULTS_SQL} " + COMPARE_SQL.format(where=""))
 def entity_stats(spark, sf_dir):
-    return plain(marts.compare_entities(_lines(spark, sf_dir)))
+    return plain(money(marts.compare_entities(_lines(spark, sf_dir))))
 
 
 SERIES_SQL = """
@@ -150,10 +150,11 @@ def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("driver_id"),
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("round"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        hundredths("o_totalprice").alias("price"),
     )
     joined = orders.join(drivers(spark, sf_dir).select("driver_id", "team"), "driver_id")
-    return joined.groupBy("round", "team").agg(F.sum("price").alias("points"), F.count(F.lit(1)).alias("n_orders"))
+    months = joined.groupBy("round", "team").agg(F.sum("price").alias("points"), F.count(F.lit(1)).alias("n_orders"))
+    return money(months, "points")
 
 
 @query(f"WITH {SERIES_SQL} SELECT * FROM months WHERE team IN ('BUILDING', 'MACHINERY') ORDER BY round, team")
@@ -200,7 +201,7 @@ def distinct_seasons(spark, sf_dir):
 )
 def season_topk(spark, sf_dir):
     season = stage(_driver_totals(spark, sf_dir), "totals")
-    return plain(windows.top_ranked(season, ["year"], "total_points", 3))
+    return plain(money(windows.top_ranked(season, ["year"], "total_points", 3)))
 
 
 @query(
@@ -211,7 +212,7 @@ def season_topk(spark, sf_dir):
 def standings_top10(spark, sf_dir):
     # the season filter sits above the join and the aggregate; it reaches the orders scan
     season = _driver_totals(spark, sf_dir).filter("year = 1997")
-    top = serving.top_standings(season, 10).join(drivers(spark, sf_dir), "driver_id", "left")
+    top = money(serving.top_standings(season, 10)).join(drivers(spark, sf_dir), "driver_id", "left")
     return plain(
         top.select(
             "year", "driver_id", "driver_name", "total_points", "wins", "points_finishes", "championship_rank"
@@ -225,7 +226,7 @@ def standings_top10(spark, sf_dir):
 )
 def champions(spark, sf_dir):
     season = stage(_driver_totals(spark, sf_dir), "totals")
-    best = windows.top_ranked(season, ["year"], "total_points", 1)
+    best = money(windows.top_ranked(season, ["year"], "total_points", 1))
     named = best.join(drivers(spark, sf_dir), "driver_id", "left")
     return plain(named.select("year", "driver_id", "driver_name", "total_points", "wins"))
 

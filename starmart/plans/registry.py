@@ -43,7 +43,16 @@ def plain(df: DataFrame) -> DataFrame:
 
 # How the star schema maps onto the shared tables:
 #   season = year(o_orderdate), round = month(o_orderdate), driver = o_custkey, team = c_mktsegment,
-#   points = l_extendedprice as decimal(12,2), position = l_linenumber
+#   points = l_extendedprice in whole hundredths, position = l_linenumber
+# Sums of hundredths are exact and stay in long arithmetic; `money` turns them back at the end.
+
+
+def hundredths(price: str):
+    return F.round(F.col(price) * 100).cast("bigint")
+
+
+def money(df: DataFrame, column: str = "total_points") -> DataFrame:
+    return df.withColumn(column, F.col(column) / F.lit(100.0))
 
 
 def line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +65,7 @@ def line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("points"),
+            F.sum(hundredths("l_extendedprice")).alias("points"),
             F.count_if(position == 1).alias("wins"),
             F.count_if(position <= 3).alias("points_finishes"),
         )

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from starmart.operators import dims, facts, quality
 from starmart.plans.registry import plain, query, table
-from starmart.sources.staging import new_folder
+from starmart.sources.staging import new_folder, stage
 from starmart.sources.tables import append_table, read_table, upsert_table, write_partitioned
 
 
@@ -85,7 +85,7 @@ def dim_team(spark, sf_dir):
 def surrogate_keys(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     old = orders.filter("year < 1998").select("o_orderkey", "o_custkey")
-    old = dims.assign_keys(old, ["o_orderkey"], "result_id")
+    old = stage(dims.assign_keys(old, ["o_orderkey"], "result_id"), "numbered")
     # all orders arrive again; those already numbered keep their number
     return plain(
         dims.insert_if_absent(old, orders.select("o_orderkey", "o_custkey"), ["o_orderkey"], key_column="result_id")
@@ -241,7 +241,7 @@ def constraint_violations(spark, sf_dir):
     broken = quality.violations(table(spark, sf_dir, "lineitem"), quality.row_rules(**LINE_RULES))
     return plain(
         broken.select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.concat_ws(",", "_rules").alias("rules")
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("_rules").alias("rules")
         )
     )
 

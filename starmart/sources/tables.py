@@ -60,8 +60,11 @@ def upsert_table(
     a staged frame when it is costly.
     """
     current = read_table(spark, path)
-    if current is not None and partition_by:
-        current = current.select(*incoming.columns)
+    if current is None:
+        write_partitioned(upsert(None, incoming, keys, order_by), path, partition_by, sort_by)
+        return
+    current = current.select(*incoming.columns)
+    if partition_by:
         touched = incoming.select(*partition_by).distinct()
         current = current.join(touched, partition_by, "left_semi")
     merged = stage(upsert(current, incoming, keys, order_by), "merge")

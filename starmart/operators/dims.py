@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.operators.facts import latest_per_key
@@ -66,6 +66,38 @@ def assign_keys(
     return numbered.select(out, *df.columns)
 
 
+# room for 2 ** 44 rows per race, below a 5-digit year and 2-digit round in a BIGINT
+FACT_KEY_BITS = 44
+
+
+def assign_fact_keys(rows: DataFrame, natural_key: list[str], out: str, race: Column, known: DataFrame) -> DataFrame:
+    """Give each fact row its key: the one ``known`` has for its natural key, or a new one.
+
+    A key is the number of the race (``race``, an integer) and a number within it, so only
+    the races that ``rows`` touch have to be in ``known``: no scan of the whole fact table.
+    """
+    matched = rows.drop(out).join(known.select(*natural_key, out), natural_key, "left")
+    fresh = matched.filter(F.col(out).isNull()).drop(out)
+    low_bits = F.lit((1 << FACT_KEY_BITS) - 1)
+    used = known.select(F.col(out).bitwiseAND(low_bits).alias(out))
+    numbered = assign_keys(fresh, natural_key, out, used)
+    numbered = numbered.withColumn(out, F.shiftleft(race.cast("bigint"), FACT_KEY_BITS) + F.col(out))
+    return matched.filter(F.col(out).isNotNull()).unionByName(numbered)
+
+
+def merge_drivers(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
+    """Driver rows of both sides: most recent known attributes, earliest creation, latest update."""
+    rows = incoming if existing is None else existing.unionByName(incoming)
+    age = ["last_year", "last_round", "updated_at"]
+    kept = ["driver_name", "nationality", "current_team", "date_of_birth"]
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*age, c))).alias(c) for c in kept]
+    last = F.max(F.struct("last_year", "last_round"))
+    merged = rows.groupBy("driver_id").agg(
+        *latest, F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"), last.alias("last")
+    )
+    return merged.select("*", "last.*").drop("last")
+
+
 def absent_rows(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """One row of ``incoming`` per key that ``existing`` lacks."""
     fresh = latest_per_key(incoming, keys, [])

@@ -42,7 +42,7 @@ MESSAGE_KEYS = {
 TABLE_DDL = {
     "dim_driver": """
         driver_id string, driver_name string, nationality string, current_team string, date_of_birth date,
-        created_at timestamp, updated_at timestamp""",
+        created_at timestamp, updated_at timestamp, last_year smallint, last_round smallint""",
     "dim_circuit": """
         circuit_id bigint, year smallint, round smallint, gp_name string, circuit_name string, country string,
         city string, lat decimal(9,6), lng decimal(9,6)""",

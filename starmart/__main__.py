@@ -11,6 +11,7 @@ from starmart.sources.topics import read_topic
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="starmart")
+    parser.add_argument("--input-gb", type=int, help="size of the data read, to size shuffles")
     commands = parser.add_subparsers(dest="command", required=True)
 
     loading = commands.add_parser("load", help="load one event type into the warehouse")
@@ -42,7 +43,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    spark = build_session()
+    spark = build_session(input_bytes=args.input_gb and args.input_gb * 10**9)
     if args.command == "load":
         if args.files:
             raw = spark.read.parquet(args.files)

@@ -14,7 +14,7 @@ def entity_key(value: Column) -> Column:
 
 def seconds_between(start: str, end: str) -> Column:
     """Seconds from ``start`` to ``end`` (microsecond precision); NULL if either is missing."""
-    return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(1e6)
+    return (F.col(end) - F.col(start)).cast("interval second").cast("decimal(18,6)").cast("double")
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

@@ -49,10 +49,12 @@ def with_cells(df: DataFrame, order_by: list[str], cells: int) -> DataFrame:
             splits=[-math.inf, *splits, math.inf], inputCol=number, outputCol=index, handleInvalid="keep"
         )
         placed = bucketizer.transform(placed)
-        step = F.when(tied, F.col(index).cast("bigint")).otherwise(F.lit(0))
+        # a missing value comes after every bucket
+        at = F.coalesce(F.col(index).cast("bigint"), F.lit(len(splits) + 1))
+        step = F.when(tied, at).otherwise(F.lit(0))
         cell = cell * F.lit(len(splits) + 2) + step
         if not frequent:
             break
-        tied = tied & F.col(number).isin(frequent)
+        tied = tied & F.coalesce(F.col(number).isin(frequent), F.lit(False))
         rest = rest.filter(F.col(number).isin(frequent))
     return placed.withColumn(CELL, cell).drop(*numbers, *made)

@@ -44,7 +44,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], out: str = "n_rows") -> DataF
 
 def orphans(fact: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
     """Fact rows whose reference (fact column -> dimension column) is not in ``dim``; a NULL reference is allowed."""
-    known = dim.select(*[F.col(d).alias(f"__d_{d}") for d in on.values()]).distinct()
+    known = dim.select(*[F.col(d).alias(f"__d_{d}") for d in on.values()])
     condition = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"__d_{d}") for f, d in on.items()])
     return fact.dropna(subset=list(on)).join(known, condition, "left_anti")
 

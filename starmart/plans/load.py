@@ -7,7 +7,9 @@ later steps read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import logging
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.scalars import entity_key
@@ -26,7 +28,9 @@ from starmart.schemas import (
     table_schema,
 )
 from starmart.sources.staging import stage
-from starmart.sources.tables import append_table, read_table, upsert_table, write_partitioned
+from starmart.sources.tables import append_table, read_table, touched_partitions, upsert_table, write_partitioned
+
+log = logging.getLogger(__name__)
 
 FACT_OF = {
     "race_result": "fact_race_result",
@@ -39,7 +43,12 @@ FACT_OF = {
 def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFrame:
     """Decode once, write what cannot be stored to ``quarantine/<event type>``, return the rest."""
     fact = FACT_OF[event_type]
-    rows = stage(decode.decode_messages(raw, message_schema(event_type)), event_type)
+    # counted while being written: no extra job
+    seen = Observation(event_type)
+    decoded = decode.decode_messages(raw, message_schema(event_type))
+    counts = [F.count(F.lit(1)).alias("messages"), F.count(decode.CORRUPT).alias("unreadable")]
+    rows = stage(decoded.observe(seen, *counts), event_type)
+    log.info("%s: %d messages, %d unreadable", event_type, seen.get["messages"], seen.get["unreadable"])
     sized = {f.name: f.dataType.simpleString() for f in table_schema(fact) if f.name in rows.columns}
     sized.pop("ingested_at", None)
     sized.pop("sampled_at", None)
@@ -61,10 +70,10 @@ def store_fact(spark: SparkSession, warehouse: str, table: str, rows: DataFrame)
     key = SURROGATE_KEY.get(table)
     if key:
         rows = stage(rows, table)
-        known = read_table(spark, path)
+        known = read_table(spark, path, table_schema(table))
         if known is None:
             known = spark.createDataFrame([], table_schema(table))
-        known = known.join(rows.select(*parts).distinct(), parts, "left_semi")
+        known = touched_partitions(known, rows, parts)
         race = F.col("year").cast("bigint") * 100 + F.col("round")
         rows = dims.assign_fact_keys(rows, keys, key, race, known).select(*table_schema(table).names)
     upsert_table(spark, path, stage(rows, table), keys, ["ingested_at"], parts, SORTED_BY[table])
@@ -73,7 +82,7 @@ def store_fact(spark: SparkSession, warehouse: str, table: str, rows: DataFrame)
 def store_dimension(spark: SparkSession, warehouse: str, table: str, incoming: DataFrame) -> None:
     """Insert rows whose natural key is new; rows that are there stay as they are."""
     path, schema = f"{warehouse}/{table}", table_schema(table)
-    existing = read_table(spark, path)
+    existing = read_table(spark, path, schema)
     if existing is None:
         existing = spark.createDataFrame([], schema)
     key = SURROGATE_KEY.get(table)
@@ -92,7 +101,7 @@ def store_drivers(spark: SparkSession, warehouse: str, results: DataFrame) -> No
         F.max(F.struct(F.col("year").alias("last_year"), F.col("round").alias("last_round"))).alias("last"),
     )
     current = dims.driver_dimension(results).join(seen.select("*", "last.*").drop("last"), "driver_id")
-    merged = dims.merge_drivers(read_table(spark, path), facts.conform(current, schema))
+    merged = dims.merge_drivers(read_table(spark, path, schema), facts.conform(current, schema))
     write_partitioned(stage(merged.select(*schema.names), "dim_driver"), path, [], ["driver_id"])
 
 

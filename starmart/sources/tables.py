@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.facts import upsert
 from starmart.sources.staging import stage
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None if nothing was written there yet."""
+# up to this many touched partitions are listed in a filter; beyond it they are joined
+MAX_LISTED_PARTITIONS = 2_000
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None if nothing was written there yet.
+
+    With ``schema``, partition columns keep their declared type instead of an inferred one.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        rows = reader.parquet(path)
+        return rows if schema is None else rows.select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -43,6 +56,36 @@ def append_table(df: DataFrame, path: str, partition_by: list[str], sort_by: lis
     write_partitioned(df, path, partition_by, sort_by, mode="append")
 
 
+def touched_partitions(table: DataFrame, incoming: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of ``table`` in the partitions that ``incoming`` has rows for.
+
+    The partition values are listed in a filter, which prunes directories before any file is
+    opened (a join would read the whole table). There are no more of them than directories
+    to write; should there be very many, a semi join takes over.
+    """
+    if not partition_by:
+        return table
+    touched = incoming.select(*partition_by).distinct()
+    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(listed) > MAX_LISTED_PARTITIONS:
+        return table.join(touched, partition_by, "left_semi")
+    first, *others = partition_by
+    by_first: dict = {}
+    for row in listed:
+        by_first.setdefault(row[0], []).append(row[1:])
+    wanted = F.lit(False)
+    for value, tails in by_first.items():
+        here = F.col(first).eqNullSafe(F.lit(value))
+        if others:
+            here = here & reduce(lambda a, b: a | b, [_equal(others, tail) for tail in tails])
+        wanted = wanted | here
+    return table.filter(wanted)
+
+
+def _equal(columns: list[str], values) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values)])
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -59,13 +102,10 @@ def upsert_table(
     because a plan must not overwrite the files it reads. ``incoming`` is read twice, so pass
     a staged frame when it is costly.
     """
-    current = read_table(spark, path)
+    current = read_table(spark, path, incoming.schema)
     if current is None:
         write_partitioned(upsert(None, incoming, keys, order_by), path, partition_by, sort_by)
         return
-    current = current.select(*incoming.columns)
-    if partition_by:
-        touched = incoming.select(*partition_by).distinct()
-        current = current.join(touched, partition_by, "left_semi")
+    current = touched_partitions(current, incoming, partition_by)
     merged = stage(upsert(current, incoming, keys, order_by), "merge")
     write_partitioned(merged, path, partition_by, sort_by)

@@ -43,9 +43,11 @@ def lenient(raw: Column, target: T.DataType) -> Column:
         return raw
     text = number_text(raw)
     if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        # a failed cast costs an exception per row, so the common "5.0" must not be tried as a BIGINT
         real = text.try_cast("double")
         whole = F.when(real == F.floor(real), real.try_cast("bigint"))
-        return F.coalesce(text.try_cast("bigint"), whole).try_cast(target)
+        digits = text.rlike(r"^[+-]?[0-9]{1,19}$")
+        return F.when(digits, text.try_cast("bigint")).otherwise(whole).try_cast(target)
     if isinstance(target, (T.DoubleType, T.FloatType)):
         return nan_to_null(text.try_cast(target))
     return text.try_cast(target)

@@ -10,6 +10,7 @@ from starmart.functions.text import parse_time
 from starmart.operators.facts import latest_per_key
 from starmart.operators.windows import rank_within
 from starmart.schemas import LAST_POINTS_POSITION, WINNING_POSITION
+from starmart.sources.staging import stage
 
 
 def clean_flags(
@@ -55,4 +56,4 @@ def team_season_rank(
 ) -> DataFrame:
     """Rank of each entity's season total within its season and team."""
     totals = results.groupBy(*by, entity).agg(F.sum(score).alias("total_points"))
-    return rank_within(totals, by, "total_points", out)
+    return rank_within(stage(totals, "totals"), by, "total_points", out)

@@ -42,11 +42,25 @@ def duplicate_keys(df: DataFrame, keys: list[str], out: str = "n_rows") -> DataF
     return present.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 1)
 
 
-def orphans(fact: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Fact rows whose reference (fact column -> dimension column) is not in ``dim``; a NULL reference is allowed."""
+def _unknown(rows: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
     known = dim.select(*[F.col(d).alias(f"__d_{d}") for d in on.values()])
     condition = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"__d_{d}") for f, d in on.items()])
-    return fact.dropna(subset=list(on)).join(known, condition, "left_anti")
+    return rows.dropna(subset=list(on)).join(known, condition, "left_anti")
+
+
+def orphans(fact: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Fact rows whose reference (fact column -> dimension column) is not in ``dim``; a NULL reference is allowed."""
+    return _unknown(fact, dim, on)
+
+
+def orphan_count(fact: DataFrame, dim: DataFrame, on: dict[str, str], out: str = "n_violations") -> DataFrame:
+    """How many fact rows `orphans` would return, in one row.
+
+    The fact is first reduced to a count per reference on the map side, so only distinct
+    references are shuffled and a very common one costs nothing.
+    """
+    counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    return _unknown(counts, dim, on).agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias(out))
 
 
 def domain_misses(df: DataFrame, column: str, dim: DataFrame, dim_column: str) -> DataFrame:
@@ -54,10 +68,8 @@ def domain_misses(df: DataFrame, column: str, dim: DataFrame, dim_column: str) -
     return orphans(df, dim, {column: dim_column})
 
 
-def _count(df: DataFrame, table: str, rule: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_violations")).select(
-        F.lit(table).alias("table"), F.lit(rule).alias("rule"), "n_violations"
-    )
+def _named(count: DataFrame, table: str, rule: str) -> DataFrame:
+    return count.select(F.lit(table).alias("table"), F.lit(rule).alias("rule"), "n_violations")
 
 
 def constraint_report(
@@ -69,13 +81,15 @@ def constraint_report(
 ) -> DataFrame:
     """All constraints of one table as (table, rule, n_violations).
 
-    Row rules share one pass; uniqueness counts the repeated keys; each reference is an anti join.
+    Row rules share one pass; uniqueness counts the repeated keys; each reference is an anti
+    join of the distinct references.
     """
     parts = []
     if rules:
         parts.append(rule_counts(df, table, rules))
     if unique:
-        parts.append(_count(duplicate_keys(df, unique), table, "unique:" + ",".join(unique)))
+        repeated = duplicate_keys(df, unique).agg(F.count(F.lit(1)).alias("n_violations"))
+        parts.append(_named(repeated, table, "unique:" + ",".join(unique)))
     for name, (dim, on) in (references or {}).items():
-        parts.append(_count(orphans(df, dim, on), table, f"reference:{name}"))
+        parts.append(_named(orphan_count(df, dim, on), table, f"reference:{name}"))
     return reduce(DataFrame.unionByName, parts)

@@ -1,8 +1,9 @@
 """Ranks, positions and neighbours within groups, without a task per group.
 
 Each operator first counts its input. Up to `cells.ROWS_PER_CELL` rows it is a plain window;
-beyond that the order is cut into cells (see `cells`). Inputs are read more than once: pass
-a scan or a staged frame when they are costly.
+beyond that the order is cut into cells (see `cells`). Inputs are read more than once and
+have to give the same values each time: pass a scan, or a staged frame when they are costly
+or hold sums of floating-point numbers.
 """
 
 from __future__ import annotations

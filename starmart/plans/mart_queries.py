@@ -103,7 +103,6 @@ def team_rank(spark, sf_dir):
 )
 def team_season_rank(spark, sf_dir):
     entries = _driver_totals(spark, sf_dir).join(drivers(spark, sf_dir), "driver_id", "left")
-    entries = stage(entries.select("year", "team", "driver_id", "total_points"), "entries")
     return plain(money(clean.team_season_rank(entries, score="total_points")))
 
 

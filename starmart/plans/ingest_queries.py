@@ -214,7 +214,7 @@ def paired_duration(spark, sf_dir):
 
 
 @query(
-    """SELECT o_orderkey, l_partkey, l_suppkey, l_linenumber,
+    """SELECT o_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
               (epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1e6 AS seconds
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 )

@@ -272,7 +272,8 @@ def param_sql(spark, sf_dir):
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, o_orderdate_text, c_name, n_name, r_name
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+              o_orderdate_text, c_name, n_name, r_name
        FROM (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate_text FROM lineitem
              LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
              LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""

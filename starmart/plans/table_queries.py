@@ -230,7 +230,7 @@ def constraint_report(spark, sf_dir):
 
 
 @query(
-    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+    """SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
               concat_ws(',', CASE WHEN length(l_linestatus) > 0 THEN 'length:l_linestatus' END,
                              CASE WHEN l_extendedprice >= 99999.95 THEN 'type:l_extendedprice' END,
                              CASE WHEN l_partkey > 32767 THEN 'type:l_partkey' END,

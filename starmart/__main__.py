@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import os
+
+from pyspark.sql import SparkSession
 
 from starmart.plans import load, serving
+from starmart.schemas import TABLE_DDL
 from starmart.session import build_session
-from starmart.sources.topics import read_topic
+from starmart.sources.relational import connection
+from starmart.sources.topics import read_topic, stream_topic
+from starmart.streaming.streams import stream_files
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -22,6 +28,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--files", help="Parquet folder of topic-shaped rows")
     loading.add_argument("--servers", help="bootstrap servers of the topic")
     loading.add_argument("--min-partitions", type=int)
+    loading.add_argument("--checkpoint", help="read as a stream, with progress kept in this folder")
+
+    export = commands.add_parser("export", help="append new rows of a table to a relational table")
+    export.add_argument("table", choices=list(TABLE_DDL))
+    export.add_argument("--warehouse", required=True)
+    export.add_argument("--url", required=True)
+    export.add_argument("--user")
+    export.add_argument("--password-env", help="environment variable that holds the password")
+    export.add_argument("--driver")
 
     refresh = commands.add_parser("marts", help="refresh the marts")
     refresh.add_argument("--warehouse", required=True)
@@ -41,17 +56,31 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.checkpoint:
+        if args.files:
+            raw = stream_files(spark, args.files, spark.read.parquet(args.files).schema)
+        else:
+            raw = stream_topic(spark, args.servers, args.topic, min_partitions=args.min_partitions)
+        load.load_stream(spark, raw, args.event_type, args.warehouse, args.checkpoint)
+        return
+    if args.files:
+        raw = spark.read.parquet(args.files)
+    else:
+        raw = read_topic(spark, args.servers, args.topic, args.min_partitions)
+    seasons = load.LOADERS[args.event_type](spark, raw, args.warehouse)
+    if seasons:
+        load.refresh_marts(spark, args.warehouse, seasons)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(input_bytes=args.input_gb and args.input_gb * 10**9)
     if args.command == "load":
-        if args.files:
-            raw = spark.read.parquet(args.files)
-        else:
-            raw = read_topic(spark, args.servers, args.topic, args.min_partitions)
-        seasons = load.LOADERS[args.event_type](spark, raw, args.warehouse)
-        if seasons:
-            load.refresh_marts(spark, args.warehouse, seasons)
+        run_load(spark, args)
+    elif args.command == "export":
+        password = args.password_env and os.environ[args.password_env]
+        load.export_table(spark, args.warehouse, args.table, connection(args.url, args.user, password, args.driver))
     elif args.command == "marts":
         load.refresh_marts(spark, args.warehouse, args.seasons)
     elif args.command == "check":

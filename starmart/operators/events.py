@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starmart.functions.scalars import seconds_between, with_defaults
 from starmart.functions.text import nan_to_null
 from starmart.operators.windows import every_nth, previous_value
+from starmart.schemas import SEASON_ROUNDS
 
 # Each mapper expects the session's columns (EventDate, EventName, RoundNumber) on every row.
 
@@ -177,13 +178,8 @@ def latest_before(df: DataFrame, date: str, as_of: str, tie_break: list[str], by
     return past.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
 
 
-def expected_units(
-    spark: SparkSession, seasons: dict[int, int] | None = None, years: tuple[int, int] | None = None, rounds: int = 0
-) -> DataFrame:
+def expected_units(spark: SparkSession, seasons: dict[int, int] = SEASON_ROUNDS) -> DataFrame:
     """(year, round) pairs that should exist: rounds 1..n of each season."""
-    if seasons is None:
-        low, high = years
-        seasons = {year: rounds for year in range(low, high + 1)}
     plan = F.array(*[F.struct(F.lit(y).alias("year"), F.lit(n).alias("rounds")) for y, n in seasons.items()])
     season = spark.range(1).select(F.inline(plan))
     return season.select("year", F.explode(F.sequence(F.lit(1), F.col("rounds"))).alias("round"))

@@ -275,7 +275,7 @@ def missing_units(spark, sf_dir):
     facts = table(spark, sf_dir, "orders").select(
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("round")
     )
-    expected = events.expected_units(spark, years=(1995, 2001), rounds=12)
+    expected = events.expected_units(spark, {year: 12 for year in range(1995, 2002)})
     return plain(events.missing_units(facts, expected, ["year", "round"]))
 
 

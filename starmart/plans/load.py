@@ -27,8 +27,10 @@ from starmart.schemas import (
     message_schema,
     table_schema,
 )
+from starmart.sources.relational import append_relation, read_relation
 from starmart.sources.staging import stage
 from starmart.sources.tables import append_table, read_table, touched_partitions, upsert_table, write_partitioned
+from starmart.streaming.streams import each_batch
 
 log = logging.getLogger(__name__)
 
@@ -40,6 +42,10 @@ FACT_OF = {
 }
 
 
+# parts of the natural key that the tables allow to be missing, but without which rows cannot be told apart
+NEEDED = {"pit_stop": ["driver_id"], "telemetry": ["driver_id"]}
+
+
 def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFrame:
     """Decode once, write what cannot be stored to ``quarantine/<event type>``, return the rest."""
     fact = FACT_OF[event_type]
@@ -53,6 +59,7 @@ def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFra
     sized.pop("ingested_at", None)
     sized.pop("sampled_at", None)
     broken = quality.row_rules(not_null=NOT_NULL.get(fact), types=sized)
+    broken |= {f"not_null:{c}": entity_key(F.col(c)).isNull() for c in NEEDED.get(event_type, [])}
     good, bad = decode.split_quarantine(rows, {name: ~condition for name, condition in broken.items()})
     if not bad.isEmpty():
         append_table(bad.withColumn("_quarantined_at", F.current_timestamp()), f"{warehouse}/quarantine/{event_type}", [])
@@ -127,10 +134,27 @@ def load_pit_stops(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
     return seasons_of(stops)
 
 
+def content_id(rows: DataFrame, sample: str) -> Column:
+    """Hash of a row's content, which tells rows without a key of their own apart.
+
+    The ingest time is left out where the row says when (or as which number) it was sampled,
+    so that reading the source again adds nothing. Without that it is the only thing that
+    tells two equal samples apart.
+    """
+    content = [F.col(c).cast("string") for c in rows.columns if c != "ingested_at"]
+    told_apart = F.when(F.col(sample).isNull(), F.col("ingested_at").cast("string"))
+    return F.sha2(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in [*content, told_apart]]), 256)
+
+
 def load_telemetry(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     good = decode_and_split(raw, "telemetry", warehouse)
+    numbered = F.col("sample_no").cast("string")
     samples = good.withColumns(
-        {"driver_id": entity_key(F.col("driver_id")), "ingested_at": parse_time(F.col("ingested_at"))}
+        {
+            "sample_id": F.coalesce(numbered, content_id(good, "sample_no")),
+            "driver_id": entity_key(F.col("driver_id")),
+            "ingested_at": parse_time(F.col("ingested_at")),
+        }
     )
     samples = stage(_to_fact(samples, "fact_telemetry", now), "samples")
     store_fact(spark, warehouse, "fact_telemetry", samples)
@@ -140,11 +164,9 @@ def load_telemetry(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
 def load_weather(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     """Weather samples have no key of their own: the hash of their content is one, so a replay adds nothing."""
     good = decode_and_split(raw, "weather", warehouse)
-    content = [c for c in good.columns if c != "ingested_at"]
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content])
     samples = good.withColumns(
         {
-            "weather_id": F.sha2(text, 256),
+            "weather_id": content_id(good, "sampled_at"),
             "sampled_at": parse_time(F.col("sampled_at")),
             "ingested_at": parse_time(F.col("ingested_at")),
         }
@@ -162,6 +184,30 @@ LOADERS = {
 }
 
 
+def load_stream(
+    spark: SparkSession, raw: DataFrame, event_type: str, warehouse: str, checkpoint: str
+) -> None:
+    """The same load on a stream of topic rows, batch by batch, marts included.
+
+    Batches may be handed over twice after a failure; the load is repeatable, so nothing doubles.
+    """
+
+    def handle(batch: DataFrame, _batch_id: int) -> None:
+        seasons = LOADERS[event_type](batch.sparkSession, batch, warehouse)
+        if seasons:
+            refresh_marts(batch.sparkSession, warehouse, seasons)
+
+    each_batch(raw, checkpoint, handle)
+
+
+def export_table(spark: SparkSession, warehouse: str, table: str, link: dict) -> None:
+    """Append to a relational table the rows whose natural key it does not have yet."""
+    rows = read_table(spark, f"{warehouse}/{table}", table_schema(table))
+    keys = NATURAL_KEY[table]
+    known = read_relation(spark, link, table).select(*[F.col(c).cast(rows.schema[c].dataType) for c in keys])
+    append_relation(stage(rows.join(known, keys, "left_anti"), "export"), link, table)
+
+
 def seasons_of(rows: DataFrame) -> list[int]:
     """The seasons in ``rows``. A season is a SMALLINT, so the list is small whatever the row count."""
     return sorted(r[0] for r in rows.select("year").distinct().collect() if r[0] is not None)

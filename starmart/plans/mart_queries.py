@@ -175,14 +175,14 @@ def compare_series_wide(spark, sf_dir):
 
 
 @query(
-    """SELECT (SELECT count(*) FROM lineitem) AS nb_race_results, (SELECT count(*) FROM orders) AS nb_pit_stops,
-              (SELECT count(*) FROM events) AS nb_weather, (SELECT count(*) FROM customer) AS nb_drivers,
-              (SELECT count(*) FROM nation) AS nb_circuits"""
+    """SELECT (SELECT count(*) FROM lineitem) AS n_lines, (SELECT count(*) FROM orders) AS n_orders,
+              (SELECT count(*) FROM events) AS n_events, (SELECT count(*) FROM customer) AS n_customers,
+              (SELECT count(*) FROM nation) AS n_nations"""
 )
 def table_counts(spark, sf_dir):
     names = {
-        "nb_race_results": "lineitem", "nb_pit_stops": "orders", "nb_weather": "events",
-        "nb_drivers": "customer", "nb_circuits": "nation",
+        "n_lines": "lineitem", "n_orders": "orders", "n_events": "events",
+        "n_customers": "customer", "n_nations": "nation",
     }
     return marts.table_counts(spark, {name: f"parquet.`{sf_dir}/{t}.parquet`" for name, t in names.items()})
 

@@ -1,10 +1,11 @@
-"""What the dashboard asks: named SQL over registered views, distinct lists, top lists."""
+"""What the dashboard asks: pages and SQL over registered views, distinct lists, top lists."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.operators.marts import compare_entities, compare_series, table_counts
 from starmart.sources.tables import read_table
 
 TABLES = [
@@ -13,30 +14,13 @@ TABLES = [
     "vw_driver_standings", "vw_team_standings", "vw_pit_stop_strategy",
 ]
 
-# The served queries, by name. Orders are total, so that pages do not change between runs.
-PAGES = {
-    "seasons": "SELECT DISTINCT year FROM fact_race_result ORDER BY year DESC",
-    "standings": """
-        SELECT * FROM vw_driver_standings WHERE year = :year
-        ORDER BY championship_rank ASC NULLS LAST, driver_id""",
-    "team_standings": """
-        SELECT * FROM vw_team_standings WHERE year = :year
-        ORDER BY championship_rank ASC NULLS LAST, team""",
-    "events_with_stops": """
-        SELECT DISTINCT gp_name FROM fact_pit_stop WHERE year = :year ORDER BY gp_name ASC NULLS LAST""",
-    "strategy": """
-        SELECT * FROM vw_pit_stop_strategy WHERE year = :year AND gp_name = :gp
-        ORDER BY total_stops ASC NULLS LAST, avg_pit_duration_sec ASC NULLS LAST, driver_id""",
-    "drivers": "SELECT DISTINCT driver_id FROM fact_race_result WHERE year = :year ORDER BY driver_id ASC NULLS LAST",
-    "comparison": """
-        SELECT round, gp_name, driver_id, position, points FROM fact_race_result
-        WHERE year = :year AND driver_id IN (:d1, :d2) ORDER BY round ASC NULLS LAST, driver_id""",
-    "counts": """
-        SELECT (SELECT count(*) FROM fact_race_result) AS nb_race_results,
-               (SELECT count(*) FROM fact_pit_stop) AS nb_pit_stops,
-               (SELECT count(*) FROM fact_weather) AS nb_weather,
-               (SELECT count(*) FROM dim_driver) AS nb_drivers,
-               (SELECT count(*) FROM dim_circuit) AS nb_circuits""",
+# --- fixed values: names of the counts that callers read ---
+COUNTS = {
+    "nb_race_results": "fact_race_result",
+    "nb_pit_stops": "fact_pit_stop",
+    "nb_weather": "fact_weather",
+    "nb_drivers": "dim_driver",
+    "nb_circuits": "dim_circuit",
 }
 
 
@@ -56,10 +40,6 @@ def run_sql(spark: SparkSession, sql: str, **params) -> DataFrame:
     return spark.sql(sql, args=params)
 
 
-def page(spark: SparkSession, name: str, **params) -> DataFrame:
-    return run_sql(spark, PAGES[name], **params)
-
-
 def distinct_values(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
     order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
     return df.select(column).distinct().orderBy(order)
@@ -86,3 +66,42 @@ def top_strategies(strategy: DataFrame, k: int = 20, key: str = "driver_id") ->
     """The first k strategies: fewest stops, then the shortest mean stop."""
     order = [F.col(c).asc_nulls_last() for c in ("total_stops", "avg_pit_duration_sec", key)]
     return strategy.orderBy(*order).limit(k)
+
+
+def _season(spark: SparkSession, view: str, year: int) -> DataFrame:
+    return spark.table(view).filter(F.col("year") == year)
+
+
+def _sorted(df: DataFrame, *columns: str) -> DataFrame:
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+
+
+# The served pages, by name, over the registered views. Orders are total, so that a page does
+# not change between runs; the season filter prunes directories.
+PAGES = {
+    "seasons": lambda spark: distinct_values(spark.table("fact_race_result"), "year", descending=True),
+    "standings": lambda spark, year: _sorted(
+        _season(spark, "vw_driver_standings", year), "championship_rank", "driver_id"
+    ),
+    "team_standings": lambda spark, year: _sorted(
+        _season(spark, "vw_team_standings", year), "championship_rank", "team"
+    ),
+    "events_with_stops": lambda spark, year: distinct_values(_season(spark, "fact_pit_stop", year), "gp_name"),
+    "strategy": lambda spark, year, gp: _sorted(
+        _season(spark, "vw_pit_stop_strategy", year).filter(F.col("gp_name") == gp),
+        "total_stops",
+        "avg_pit_duration_sec",
+        "driver_id",
+    ),
+    "drivers": lambda spark, year: distinct_values(_season(spark, "fact_race_result", year), "driver_id"),
+    "comparison": lambda spark, year, d1, d2: compare_series(_season(spark, "fact_race_result", year), [d1, d2]),
+    "comparison_stats": lambda spark, year, d1, d2: compare_entities(
+        _season(spark, "fact_race_result", year), among=[d1, d2]
+    ),
+    "counts": lambda spark: table_counts(spark, COUNTS),
+}
+
+
+def page(spark: SparkSession, name: str, **params) -> DataFrame:
+    """A served page, for example ``page(spark, "standings", year=2024)``."""
+    return PAGES[name](spark, **params)

@@ -60,8 +60,9 @@ TABLE_DDL = {
         humidity_pct decimal(4,1), wind_speed_ms decimal(4,1), rainfall boolean, sampled_at timestamp,
         ingested_at timestamp""",
     "fact_telemetry": """
-        year smallint, gp_name string, driver_id string, sample_no bigint, speed_kmh double, throttle_pct double,
-        brake boolean, drs int, gear int, rpm double, x double, y double, ingested_at timestamp""",
+        sample_id string, year smallint, gp_name string, driver_id string, sample_no bigint, speed_kmh double,
+        throttle_pct double, brake boolean, drs int, gear int, rpm double, x double, y double,
+        ingested_at timestamp""",
 }
 
 # --- fixed values: constraints of the star schema -----------------------------------
@@ -79,8 +80,8 @@ NATURAL_KEY = {
     "dim_tyre": ["compound"],
     "fact_race_result": ["year", "round", "driver_id"],
     "fact_pit_stop": ["year", "round", "driver_id", "lap_number"],
-    "fact_weather": ["weather_id"],
-    "fact_telemetry": ["year", "gp_name", "driver_id", "sample_no"],
+    "fact_weather": ["year", "gp_name", "weather_id"],
+    "fact_telemetry": ["year", "gp_name", "driver_id", "sample_id"],
 }
 NOT_NULL = {
     "dim_driver": ["driver_id", "driver_name"],
@@ -90,6 +91,7 @@ NOT_NULL = {
     "fact_race_result": ["year", "round", "gp_name"],
     "fact_pit_stop": ["year", "round", "lap_number"],
     "fact_weather": ["year", "gp_name"],
+    "fact_telemetry": ["year", "gp_name"],
 }
 MAX_LENGTH = {
     "dim_driver": {"driver_id": 10, "driver_name": 100, "nationality": 50, "current_team": 100},
@@ -121,6 +123,9 @@ TYRES = [
     ("WET", "#0000FF"),
 ]
 
+# --- fixed values: rounds of the seasons loaded by default -----------------------------
+SEASON_ROUNDS = {2023: 22, 2024: 23}
+
 # --- fixed values: score rules ------------------------------------------------------
 WINNING_POSITION = 1
 LAST_POINTS_POSITION = 10

@@ -178,7 +178,7 @@ def test_missing_units(spark):
     expected = events.expected_units(spark, {2023: 2, 2024: 2})
     got = events.missing_units(facts, expected, ["year", "round"])
     assert sorted(map(tuple, got.collect())) == [(2023, 2), (2024, 1)]
-    assert events.missing_units(facts.limit(0), events.expected_units(spark, {2023: 22, 2024: 23}), ["year", "round"]).count() == 45
+    assert events.missing_units(facts.limit(0), events.expected_units(spark), ["year", "round"]).count() == 45
 
 
 def test_topics(spark):

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from starmart.plans import load, serving
+from starmart.streaming.streams import stream_files
 
 RAW = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
 
@@ -187,7 +188,71 @@ def test_telemetry_and_weather(spark, tmp_path):
         load.load_weather(spark, topic_rows(spark, weather), path)
     assert spark.read.parquet(f"{path}/fact_telemetry").count() == 3
     fact = spark.read.parquet(f"{path}/fact_weather")
-    assert rows(fact.select("air_temp_c", "rainfall")) == [(20.5, False), (21.0, False)]
+    # equal readings at different times are two samples; reading the messages again adds none
+    assert rows(fact.select("air_temp_c", "rainfall")) == [(20.5, False), (20.5, False), (21.0, False)]
+
+
+def test_samples_without_a_number_are_all_kept(spark, tmp_path):
+    path = str(tmp_path / "w")
+    plain = {"event_type": "telemetry", "year": 2024, "gp_name": "GP 1", "driver_id": "ver", "speed_kmh": 300.5}
+    messages = [plain | {"ingested_at": f"2024-03-02T15:00:00.00000{i}"} for i in range(5)]
+    for _ in range(2):
+        load.load_telemetry(spark, topic_rows(spark, messages + messages), path)
+    assert spark.read.parquet(f"{path}/fact_telemetry").count() == 5
+
+
+def test_stream_load_equals_batch_load(spark, tmp_path):
+    incoming = str(tmp_path / "in")
+    for part in (RESULTS[:6], RESULTS[6:]):
+        topic_rows(spark, part).coalesce(1).write.mode("append").parquet(incoming)
+    stream = stream_files(spark, incoming, topic_rows(spark, []).schema, max_files=1)
+    load.load_stream(spark, stream, "race_result", str(tmp_path / "s"), str(tmp_path / "c"))
+    load.load_race_results(spark, topic_rows(spark, RESULTS), str(tmp_path / "b"))
+    load.refresh_marts(spark, str(tmp_path / "b"))
+    for table, hidden in (("fact_race_result", ["result_id", "ingested_at"]), ("vw_driver_standings", []),
+                          ("dim_driver", []), ("dim_team", ["team_id"])):
+        one, two = (spark.read.parquet(f"{tmp_path}/{run}/{table}").drop(*hidden) for run in "sb")
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.select(one.columns).collect())), table
+
+
+def test_stops_without_a_driver_are_quarantined(spark, tmp_path):
+    path = str(tmp_path / "w")
+    load.load_pit_stops(spark, topic_rows(spark, [stop(1, driver=" "), stop(2)]), path)
+    assert spark.read.parquet(f"{path}/fact_pit_stop").count() == 1
+    assert rows(spark.read.parquet(f"{path}/quarantine/pit_stop").select("_reason")) == [("not_null:driver_id",)]
+
+
+def test_export_appends_only_new_keys(spark, warehouse, monkeypatch):
+    sent = []
+    known = spark.read.parquet(f"{warehouse}/fact_race_result").filter("year = 2024")
+    monkeypatch.setattr(load, "read_relation", lambda *_: known)
+    monkeypatch.setattr(load, "append_relation", lambda df, link, table: sent.append((table, rows(df.select("year")))))
+    load.export_table(spark, warehouse, "fact_race_result", {"url": "jdbc:x"})
+    assert sent == [("fact_race_result", [(2023,)])]
+
+
+def test_command_line(spark, warehouse, capsys, tmp_path):
+    from starmart import __main__ as cli
+
+    topic_rows(spark, RESULTS).write.parquet(str(tmp_path / "in"))
+    cli.main(["load", "race_result", "--files", str(tmp_path / "in"), "--warehouse", str(tmp_path / "w")])
+    cli.main(["page", "standings", "--warehouse", str(tmp_path / "w"), "--year", "2023"])
+    cli.main(["check", "--warehouse", str(tmp_path / "w")])
+    out = capsys.readouterr().out
+    assert "Name Ver" in out and "unique:year,round,driver_id" in out
+
+
+def test_standings_keep_every_point(spark, warehouse):
+    facts_total = spark.read.parquet(f"{warehouse}/fact_race_result").agg({"points": "sum"}).collect()[0][0]
+    for mart in ("vw_driver_standings", "vw_team_standings"):
+        assert spark.read.parquet(f"{warehouse}/{mart}").agg({"total_points": "sum"}).collect()[0][0] == facts_total
+
+
+def test_enriched_facts(spark, warehouse):
+    results = load.enrich_results(spark, warehouse)
+    assert results.count() == 8 and results.filter("driver_name is null or circuit_id is null").count() == 0
+    stops = {r.driver_id + str(r.lap_number): r.colour_hex for r in load.enrich_stops(spark, warehouse).collect()}
+    assert stops["VER5"] == "#FF0000" and stops["HAM41"] is None
 
 
 def test_empty_load(spark, tmp_path):

@@ -29,7 +29,14 @@ from starmart.schemas import (
 )
 from starmart.sources.relational import append_relation, read_relation
 from starmart.sources.staging import stage
-from starmart.sources.tables import append_table, read_table, touched_partitions, upsert_table, write_partitioned
+from starmart.sources.tables import (
+    append_table,
+    partition_values,
+    read_table,
+    touched_partitions,
+    upsert_table,
+    write_partitioned,
+)
 from starmart.streaming.streams import each_batch
 
 log = logging.getLogger(__name__)
@@ -70,20 +77,26 @@ def _to_fact(rows: DataFrame, table: str, now: Column | None) -> DataFrame:
     return facts.conform(rows, table_schema(table), now, FALSE_BY_DEFAULT.get(table), NOW_BY_DEFAULT.get(table))
 
 
+def _unique(rows: DataFrame, table: str) -> DataFrame:
+    return stage(facts.latest_per_key(rows, NATURAL_KEY[table], ["ingested_at"]), table)
+
+
 def store_fact(spark: SparkSession, warehouse: str, table: str, rows: DataFrame) -> None:
-    """Upsert conformed rows; a row that replaces another keeps its key."""
+    """Upsert rows that are unique by natural key; a row that replaces another keeps its key.
+
+    ``rows`` is read more than once: pass a scan of a staged table.
+    """
     path, keys, parts = f"{warehouse}/{table}", NATURAL_KEY[table], PARTITIONED_BY[table]
-    rows = facts.latest_per_key(rows, keys, ["ingested_at"])
+    values = partition_values(rows, parts)
     key = SURROGATE_KEY.get(table)
     if key:
-        rows = stage(rows, table)
         known = read_table(spark, path, table_schema(table))
         if known is None:
             known = spark.createDataFrame([], table_schema(table))
-        known = touched_partitions(known, rows, parts)
+        known = touched_partitions(known, rows, parts, values)
         race = F.col("year").cast("bigint") * 100 + F.col("round")
         rows = dims.assign_fact_keys(rows, keys, key, race, known).select(*table_schema(table).names)
-    upsert_table(spark, path, stage(rows, table), keys, ["ingested_at"], parts, SORTED_BY[table])
+    upsert_table(spark, path, rows, keys, ["ingested_at"], parts, SORTED_BY[table], values)
 
 
 def store_dimension(spark: SparkSession, warehouse: str, table: str, incoming: DataFrame) -> None:
@@ -92,12 +105,11 @@ def store_dimension(spark: SparkSession, warehouse: str, table: str, incoming: D
     existing = read_table(spark, path, schema)
     if existing is None:
         existing = spark.createDataFrame([], schema)
+    added = stage(dims.absent_rows(existing, incoming, NATURAL_KEY[table]), table)
     key = SURROGATE_KEY.get(table)
-    rows = stage(incoming, table)
-    added = dims.absent_rows(existing, rows, NATURAL_KEY[table])
     if key:
-        added = dims.assign_keys(added.drop(key), NATURAL_KEY[table], key, existing)
-    append_table(stage(facts.conform(added, schema), table), path, [], NATURAL_KEY[table])
+        added = dims.assign_keys(added, NATURAL_KEY[table], key, existing)
+    append_table(facts.conform(added, schema), path, [], NATURAL_KEY[table])
 
 
 def store_drivers(spark: SparkSession, warehouse: str, results: DataFrame) -> None:
@@ -128,7 +140,7 @@ def load_pit_stops(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
     stops = good.withColumns(
         {"driver_id": entity_key(F.col("driver_id")), "ingested_at": parse_time(F.col("ingested_at"))}
     )
-    stops = stage(_to_fact(stops, "fact_pit_stop", now), "stops")
+    stops = _unique(_to_fact(stops, "fact_pit_stop", now), "fact_pit_stop")
     store_dimension(spark, warehouse, "dim_tyre", dims.tyre_seed(spark))
     store_fact(spark, warehouse, "fact_pit_stop", stops)
     return seasons_of(stops)
@@ -156,7 +168,7 @@ def load_telemetry(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
             "ingested_at": parse_time(F.col("ingested_at")),
         }
     )
-    samples = stage(_to_fact(samples, "fact_telemetry", now), "samples")
+    samples = _unique(_to_fact(samples, "fact_telemetry", now), "fact_telemetry")
     store_fact(spark, warehouse, "fact_telemetry", samples)
     return seasons_of(samples)
 
@@ -171,7 +183,7 @@ def load_weather(spark: SparkSession, raw: DataFrame, warehouse: str, now: Colum
             "ingested_at": parse_time(F.col("ingested_at")),
         }
     )
-    samples = stage(_to_fact(samples, "fact_weather", now), "samples")
+    samples = _unique(_to_fact(samples, "fact_weather", now), "fact_weather")
     store_fact(spark, warehouse, "fact_weather", samples)
     return seasons_of(samples)
 

@@ -56,22 +56,31 @@ def append_table(df: DataFrame, path: str, partition_by: list[str], sort_by: lis
     write_partitioned(df, path, partition_by, sort_by, mode="append")
 
 
-def touched_partitions(table: DataFrame, incoming: DataFrame, partition_by: list[str]) -> DataFrame:
+def partition_values(rows: DataFrame, partition_by: list[str]) -> list | None:
+    """The distinct partition values of ``rows``; None if there are too many to list.
+
+    There are no more of them than directories to write, so the list is small as a rule.
+    """
+    values = rows.select(*partition_by).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    return values if len(values) <= MAX_LISTED_PARTITIONS else None
+
+
+def touched_partitions(
+    table: DataFrame, incoming: DataFrame, partition_by: list[str], values: list | None = None
+) -> DataFrame:
     """The rows of ``table`` in the partitions that ``incoming`` has rows for.
 
     The partition values are listed in a filter, which prunes directories before any file is
-    opened (a join would read the whole table). There are no more of them than directories
-    to write; should there be very many, a semi join takes over.
+    opened (a join would read the whole table). If there are too many, a semi join takes over.
     """
     if not partition_by:
         return table
-    touched = incoming.select(*partition_by).distinct()
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return table.join(touched, partition_by, "left_semi")
+    values = partition_values(incoming, partition_by) if values is None else values
+    if values is None:
+        return table.join(incoming.select(*partition_by).distinct(), partition_by, "left_semi")
     first, *others = partition_by
     by_first: dict = {}
-    for row in listed:
+    for row in values:
         by_first.setdefault(row[0], []).append(row[1:])
     wanted = F.lit(False)
     for value, tails in by_first.items():
@@ -94,18 +103,19 @@ def upsert_table(
     order_by: list[str],
     partition_by: list[str],
     sort_by: list[str] | None = None,
+    values: list | None = None,
 ) -> None:
     """Merge ``incoming`` into the table at ``path``; running it twice changes nothing.
 
     Only the partitions that ``incoming`` touches are read and rewritten. The partition
     columns must be part of (or determined by) ``keys``. The merged rows are staged first,
-    because a plan must not overwrite the files it reads. ``incoming`` is read twice, so pass
-    a staged frame when it is costly.
+    because a plan must not overwrite the files it reads. ``incoming`` is read twice unless its
+    partition ``values`` are given, so pass a staged frame when it is costly.
     """
     current = read_table(spark, path, incoming.schema)
     if current is None:
         write_partitioned(upsert(None, incoming, keys, order_by), path, partition_by, sort_by)
         return
-    current = touched_partitions(current, incoming, partition_by)
+    current = touched_partitions(current, incoming, partition_by, values)
     merged = stage(upsert(current, incoming, keys, order_by), "merge")
     write_partitioned(merged, path, partition_by, sort_by)

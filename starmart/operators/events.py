@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.functions.scalars import seconds_between, with_defaults
 from starmart.functions.text import nan_to_null
@@ -170,7 +171,13 @@ def first_n_keys(df: DataFrame, key: str, order_by: str, n: int, within: list[st
 
 def latest_before(df: DataFrame, date: str, as_of: str, tie_break: list[str], by: list[str] | None = None) -> DataFrame:
     """The last row dated on or before ``as_of`` (per group of ``by``); empty if there is none."""
-    past = df.filter(F.col(date).cast("date") <= F.lit(as_of).cast("date"))
+    last_day = F.to_date(F.lit(as_of))
+    kind = df.schema[date].dataType
+    # compared in the column's own type, so that the filter reaches the scan
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        past = df.filter(F.col(date) < F.date_add(last_day, 1).cast(kind))
+    else:
+        past = df.filter(F.col(date).cast("date") <= last_day)
     order = [F.col(date).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
     if not by:
         return past.orderBy(*order).limit(1)

@@ -53,6 +53,14 @@ def orphans(fact: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
     return _unknown(fact, dim, on)
 
 
+def referenced(fact: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
+    """The fact rows that `orphans` does not return: known or NULL reference."""
+    known = dim.select(*[F.col(d).alias(f"__d_{d}") for d in on.values()])
+    condition = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"__d_{d}") for f, d in on.items()])
+    missing = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in on])
+    return fact.join(known, condition, "left_semi").unionByName(fact.filter(missing))
+
+
 def orphan_count(fact: DataFrame, dim: DataFrame, on: dict[str, str], out: str = "n_violations") -> DataFrame:
     """How many fact rows `orphans` would return, in one row.
 

@@ -31,8 +31,8 @@ RESULTS_SQL = """
 """
 
 
-def _driver_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.season_totals(order_results(spark, sf_dir), ["year", "driver_id"], totals())
+def _driver_totals(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
+    return marts.season_totals(order_results(spark, sf_dir, season), ["year", "driver_id"], totals())
 
 
 @query(f"WITH {RESULTS_SQL} SELECT * FROM driver_ranked")
@@ -209,8 +209,7 @@ def season_topk(spark, sf_dir):
     FROM driver_ranked WHERE year = 1997 ORDER BY championship_rank, driver_id LIMIT 10"""
 )
 def standings_top10(spark, sf_dir):
-    # the season filter sits above the join and the aggregate; it reaches the orders scan
-    season = _driver_totals(spark, sf_dir).filter("year = 1997")
+    season = _driver_totals(spark, sf_dir, 1997)
     top = money(serving.top_standings(season, 10)).join(drivers(spark, sf_dir), "driver_id", "left")
     return plain(
         top.select(

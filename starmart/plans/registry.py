@@ -72,8 +72,15 @@ def line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+def order_results(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    if season is not None:
+        # a range of dates, unlike a year() comparison, lets the scan skip row groups
+        orders = orders.filter(
+            (F.col("o_orderdate") >= F.lit(f"{season}-01-01").cast("timestamp_ntz"))
+            & (F.col("o_orderdate") < F.lit(f"{season + 1}-01-01").cast("timestamp_ntz"))
+        )
+    orders = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("driver_id"),
         F.year("o_orderdate").alias("year"),

@@ -194,6 +194,16 @@ def orphans(spark, sf_dir):
     return plain(quality.orphans(shifted, table(spark, sf_dir, "customer"), {"o_custkey": "c_custkey"}))
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey + 500 END AS o_custkey FROM orders
+       WHERE o_orderstatus = 'P' OR o_custkey + 500 IN (SELECT c_custkey FROM customer)"""
+)
+def referenced_rows(spark, sf_dir):
+    shifted = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey") + 500).alias("o_custkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", shifted)
+    return plain(quality.referenced(orders, table(spark, sf_dir, "customer"), {"o_custkey": "c_custkey"}))
+
+
 LINE_RULES = dict(
     not_null=["l_linenumber", "l_returnflag"],
     max_length={"l_linestatus": 0},

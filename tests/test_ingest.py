@@ -201,3 +201,10 @@ def test_connection_leaves_out_what_is_not_given():
 def test_empty_in_empty_out(spark, make):
     empty = spark.createDataFrame([], message_schema("race_result"))
     assert make(spark, empty).collect() == []
+
+
+def test_latest_before_reaches_the_scan(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    latest = events.latest_before(orders, "o_orderdate", "1998-06-15", ["o_orderkey"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(o_orderdate,1998-06-16T00:00)" in plan and "TakeOrderedAndProject" in plan

@@ -158,3 +158,15 @@ def test_season_filter_reaches_the_scan(spark, sf_dir):
 def test_table_schemas_parse():
     for name in ("dim_driver", "dim_circuit", "dim_team", "dim_tyre", "fact_race_result", "fact_pit_stop", "fact_weather"):
         assert table_schema(name).names
+
+
+def test_filtering_a_season_before_or_after_ranking_is_the_same(spark, sf_dir):
+    from starmart.plans.mart_queries import _driver_totals
+    from starmart.operators.windows import rank_within, top_ranked
+    from starmart.sources.staging import stage
+
+    season = stage(_driver_totals(spark, sf_dir), "totals")
+    after = rank_within(season, ["year"], "total_points").filter("year = 1998")
+    before = rank_within(season.filter("year = 1998"), ["year"], "total_points")
+    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
+    assert "WindowGroupLimit" in plan_of(top_ranked(season, ["year"], "total_points", 3))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.facts import latest_per_key
 from starmart.schemas import TYRES
+from starmart.sources.staging import stage
 
 # 4 hex digits of a hash: at most 65,536 buckets, so the table of bucket sizes has a fixed bound
 HASH_DIGITS = 4
@@ -108,5 +109,6 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str],
     """``existing`` plus the rows of ``incoming`` whose key is new, numbered on if the table has a surrogate key."""
     added = absent_rows(existing, incoming, keys)
     if key_column:
-        added = assign_keys(added, keys, key_column, existing)
+        # numbering reads the new rows twice, and finding them is the costly part
+        added = assign_keys(stage(added, "absent"), keys, key_column, existing)
     return existing.unionByName(added, allowMissingColumns=True)

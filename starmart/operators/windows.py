@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from starmart.operators.cells import CELL, cells_needed, with_cells
 
 
+# spark.sql.optimizer.windowGroupLimitThreshold, at its default
+GROUP_LIMIT = 1000
+
+
 def _match(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
     """Join on columns in which NULL matches NULL, keeping the left copy of them."""
     right = right.withColumnsRenamed({c: f"__r_{c}" for c in columns})
@@ -61,7 +65,10 @@ def top_ranked(df: DataFrame, by: list[str], score: str, k: int, out: str = "cha
 
     At most k distinct scores per group can qualify. Finding them is a group limit on the
     distinct scores (applied before the shuffle), so a score shared by most rows costs nothing.
+    Spark plans a group limit up to `GROUP_LIMIT`; a longer list is cut from the full ranking.
     """
+    if k > GROUP_LIMIT:
+        return rank_within(df, by, score, out).filter(F.col(out) <= k)
     best_first = Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())
     better = best_first.rowsBetween(Window.unboundedPreceding, -1)
     scores = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__rows"))

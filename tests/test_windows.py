@@ -65,6 +65,13 @@ def test_top_ranked(spark, mode):
     assert {r.id: r.rk for r in got} == want
 
 
+def test_top_ranked_beyond_the_group_limit(spark, mode):
+    rows = [("a", i, i // 2) for i in range(2500)]
+    got = windows.top_ranked(frame(spark, rows), ["grp"], "score", 1001, "rk").collect()
+    assert sorted(r.id for r in got) == list(range(2500 - 1002, 2500))
+    assert max(r.rk for r in got) == 1001
+
+
 def test_top_ranked_with_a_common_best_score(spark):
     rows = [("a", i, 5) for i in range(50)] + [("a", 100 + i, i % 5) for i in range(50)]
     got = windows.top_ranked(frame(spark, rows), ["grp"], "score", 1, "rk").collect()

@@ -28,33 +28,48 @@ def cells_needed(df: DataFrame) -> int:
     return max(1, min(MAX_CELLS, math.ceil(df.count() / per_cell)))
 
 
-def with_cells(df: DataFrame, order_by: list[str], cells: int) -> DataFrame:
+def _numbered(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, list[str]]:
+    names = [f"__order{i}" for i in range(len(order_by))]
+    return df.withColumns({n: order_number(df, c) for n, c in zip(names, order_by)}), names
+
+
+def cell_cuts(df: DataFrame, order_by: list[str], cells: int) -> list[tuple[list[float], list[float]]]:
+    """Per order column: where to cut, and which values fill a cell alone. At most MAX_CELLS numbers each."""
+    rows, names = _numbered(df, order_by)
+    rows = rows.select(*names)
+    levels = []
+    for name in names:
+        cuts = rows.approxQuantile(name, [i / cells for i in range(1, cells)], 1 / (4 * cells))
+        frequent = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+        levels.append((sorted(set(cuts) | {math.nextafter(v, math.inf) for v in frequent}), frequent))
+        if not frequent:
+            break
+        # only a value that fills a cell alone is cut again, by the next column
+        rows = rows.filter(F.col(name).isin(frequent))
+    return levels
+
+
+def place(df: DataFrame, order_by: list[str], levels: list[tuple[list[float], list[float]]]) -> DataFrame:
     """Add ``__cell``, an integer that never decreases along ``order_by`` (ascending, nulls last)."""
     from pyspark.ml.feature import Bucketizer
 
-    numbers = [f"__order{i}" for i in range(len(order_by))]
-    placed = df.withColumns({n: order_number(df, c) for n, c in zip(numbers, order_by)})
-    cell, tied, rest = F.lit(0).cast("bigint"), F.lit(True), placed.select(*numbers)
-    made = []
-    for number in numbers:
-        # at most MAX_CELLS numbers reach the driver
-        cuts = rest.approxQuantile(number, [i / cells for i in range(1, cells)], 1 / (4 * cells))
-        frequent = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-        splits = sorted(set(cuts) | {math.nextafter(v, math.inf) for v in frequent})
+    placed, names = _numbered(df, order_by)
+    cell, tied, made = F.lit(0).cast("bigint"), F.lit(True), []
+    for name, (splits, frequent) in zip(names, levels):
         if not splits:
             break
-        index = f"{number}_at"
+        index = f"{name}_at"
         made.append(index)
         bucketizer = Bucketizer(
-            splits=[-math.inf, *splits, math.inf], inputCol=number, outputCol=index, handleInvalid="keep"
+            splits=[-math.inf, *splits, math.inf], inputCol=name, outputCol=index, handleInvalid="keep"
         )
         placed = bucketizer.transform(placed)
         # a missing value comes after every bucket
         at = F.coalesce(F.col(index).cast("bigint"), F.lit(len(splits) + 1))
-        step = F.when(tied, at).otherwise(F.lit(0))
-        cell = cell * F.lit(len(splits) + 2) + step
-        if not frequent:
-            break
-        tied = tied & F.coalesce(F.col(number).isin(frequent), F.lit(False))
-        rest = rest.filter(F.col(number).isin(frequent))
-    return placed.withColumn(CELL, cell).drop(*numbers, *made)
+        cell = cell * F.lit(len(splits) + 2) + F.when(tied, at).otherwise(F.lit(0))
+        tied = tied & F.coalesce(F.col(name).isin(frequent), F.lit(False))
+    return placed.withColumn(CELL, cell).drop(*names, *made)
+
+
+def with_cells(df: DataFrame, order_by: list[str], cells: int) -> DataFrame:
+    return place(df, order_by, cell_cuts(df, order_by, cells))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.cells import CELL, cells_needed, with_cells
+from starmart.operators.cells import CELL, cell_cuts, cells_needed, place, with_cells
 
 
 # spark.sql.optimizer.windowGroupLimitThreshold, at its default
@@ -46,9 +46,11 @@ def rank_within(df: DataFrame, by: list[str], score: str, out: str = "championsh
         best_first = Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())
         return df.withColumn(out, F.rank().over(best_first))
 
+    down = (-F.col(score)).alias("__down")
+    # cut by rows, which needs no shuffle; a cell's distinct scores are at most its rows
+    cuts = cell_cuts(df.select(down), ["__down"], cells)
     scores = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__rows"))
-    scores = scores.withColumn("__down", -F.col(score))
-    scores = with_cells(scores, ["__down"], cells)
+    scores = place(scores.select("*", down), ["__down"], cuts)
     in_cell = (
         Window.partitionBy(*by, CELL)
         .orderBy(F.col("__down").asc_nulls_last())

@@ -42,12 +42,17 @@ def drop_replays(events: DataFrame, keys: list[str], event_time: str, delay: str
     return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> None:
-    """Append a stream to a Parquet folder and wait until everything available is written."""
+def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> int:
+    """Append a stream to a Parquet folder and wait until everything available is written.
+
+    Returns how many rows came too late for the watermark and were dropped.
+    """
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    run = writer.trigger(availableNow=True).start()
+    run.awaitTermination()
+    return sum(state.numRowsDroppedByWatermark for step in run.recentProgress for state in step.stateOperators)
 
 
 def each_batch(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:

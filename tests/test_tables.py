@@ -81,7 +81,8 @@ def test_partitioned_read_prunes_and_pushes(spark, sf_dir, tmp_path):
 
 
 def test_rebalance_splits_a_partition_that_holds_most_rows(spark, tmp_path):
-    df = spark.range(200_000).select(F.when(F.col("id") < 190_000, 2024).otherwise(2023).alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    year = F.when(F.col("id") < 190_000, 2024).otherwise(2023).alias("year")
+    df = spark.range(200_000).select(year, F.sha2(F.col("id").cast("string"), 256).alias("v"))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1000000")
     try:
         write_partitioned(df, str(tmp_path / "t"), ["year"], ["v"])
@@ -92,8 +93,11 @@ def test_rebalance_splits_a_partition_that_holds_most_rows(spark, tmp_path):
 
 
 def test_conform_casts_defaults_and_nulls(spark):
-    df = spark.createDataFrame([("1", 12345.5, None, "x"), ("70000", 25.0, True, "y")], "round string, points double, is_winner boolean, extra string")
-    target = T.StructType.fromDDL("year smallint, round smallint, points decimal(4,1), is_winner boolean, ingested_at timestamp")
+    rows = [("1", 12345.5, None, "x"), ("70000", 25.0, True, "y")]
+    df = spark.createDataFrame(rows, "round string, points double, is_winner boolean, extra string")
+    target = T.StructType.fromDDL(
+        "year smallint, round smallint, points decimal(4,1), is_winner boolean, ingested_at timestamp"
+    )
     got = facts.conform(df, target, F.lit("2024-01-01").cast("timestamp"), ["is_winner"], ["ingested_at"])
     assert got.schema == T.StructType([T.StructField(f.name, f.dataType, got.schema[f.name].nullable) for f in target])
     assert [tuple(r)[:4] for r in got.collect()] == [(None, 1, None, False), (None, None, decimal.Decimal("25.0"), True)]

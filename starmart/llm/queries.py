@@ -129,9 +129,9 @@ def op6_url_filters(spark, sf_dir):
 @query(
     r"""
     WITH t(license_id, text) AS (VALUES {templates}),
-    tw AS (SELECT license_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM t),
+    tw AS (SELECT license_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM t),
     ts AS (SELECT DISTINCT license_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT license_id, w, unnest(range(1, len(w) - 3)) AS i FROM tw)),
-    dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents),
+    dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
     ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM dw)),
     n AS (SELECT license_id, count(*) AS n FROM ts GROUP BY license_id),
     hits AS (SELECT doc_id, license_id, count(*) AS m FROM ds JOIN ts USING (s) GROUP BY doc_id, license_id)

@@ -137,8 +137,13 @@ def hex_of(fingerprint) -> F.Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
+ARROW_BATCH = 4 << 20
+
+
 def ready(spark) -> None:
-    """Lets Python workers on this machine import the package where it lies; on a cluster, ship it with --py-files."""
+    """Prepares a session for the operators: Arrow batches stay small, which bounds a worker's memory however long texts
+    are, and Python workers on this machine can import the package where it lies (on a cluster, ship it with --py-files)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):

@@ -156,37 +156,40 @@ def _bucket_pass(batches):
     same = _run_sizes(new_cell)
     twice = same > 1
     number = np.cumsum(new_seed) - 1
-    mixed = np.bincount(number, new_cell)[number] > 1
+    mixed = (np.bincount(number, new_cell)[number] > 1) & (np.bincount(number, ~twice)[number] > 0)
     edge = (seeds == seeds[0]) | (seeds == seeds[-1])
+    rim = (edge & (own == own[0]) & (seeds == seeds[0])) | (edge & (own == own[-1]) & (seeds == seeds[-1]))
     keep = np.flatnonzero(twice | mixed | edge)
     made = bucket.take(pa.array(order[keep]))
-    flags = [pa.array(x[keep]) for x in (twice, mixed, new_cell, edge)]
+    flags = [pa.array(x[keep]) for x in (twice, mixed, new_cell, edge, rim)]
     columns = [*made.columns, *flags]
     table = pa.Table.from_arrays([pa.chunked_array([c]) if isinstance(c, pa.Array) else c for c in columns], [*ENTRY, *FLAGS])
     yield from table.combine_chunks().to_batches(max_chunksize=65536)
 
 
-FLAGS = ["twice", "mixed", "first", "edge"]
+#: the cell occurs again; another cell shares the seed and some cell of it occurs once; first entry of its cell in the bucket;
+#: the bucket begins or ends with the seed; it begins or ends with the cell
+FLAGS = ["twice", "mixed", "first", "edge", "rim"]
 
 
 def sorted_runs(entries: DataFrame, label: str) -> DataFrame:
-    """Of staged entries those that share a seed with another: with twice (their cell occurs again), mixed (another cell has
-    the same seed) and first (one entry at least of each cell in each bucket).
+    """Of staged entries those that share a seed with another, with the flags twice, mixed and first.
 
     Splitters sampled by Spark cut the range of (seed, cell, document, start), so that a seed which a third of all entries
-    have spreads over many buckets. Each bucket is sorted; a run at a bucket's bounds may go on beyond them, so the
-    cells of such runs are counted over all buckets.
+    have spreads over many buckets. Each bucket is sorted. The run of a cell, or of a seed, may go on beyond a bucket only
+    where the bucket begins or ends with it: these at most two cells and two seeds a bucket are compared across buckets,
+    and what they give is broadcast.
     """
     dealt = entries.repartitionByRange("seed", "cell", "doc_id", "text_key", "low")
     schema = T.StructType([*entries.schema, *(T.StructField(f, T.BooleanType()) for f in FLAGS)])
     runs = stage_table(dealt.mapInArrow(_bucket_pass, schema), label)
-    counted = runs.filter("edge").groupBy("seed", "cell").agg(F.count(F.lit(1)).alias("_many"))
-    seeds = counted.groupBy("seed").agg((F.count(F.lit(1)) > 1).alias("_mixed"))
-    bounds = (
-        runs.filter("edge").join(counted, ["seed", "cell"]).join(seeds, "seed")
-        .select(*ENTRY, (F.col("_many") > 1).alias("twice"), F.col("_mixed").alias("mixed"), "first").filter("twice OR mixed")
+    same_cell = runs.filter("rim AND first").groupBy("seed", "cell").agg((F.count(F.lit(1)) > 1).alias("_twice")).filter("_twice")
+    same_seed = runs.filter("edge AND first").groupBy("seed").agg((F.min("cell") < F.max("cell")).alias("_mixed")).filter("_mixed")
+    return (
+        runs.join(F.broadcast(same_cell), ["seed", "cell"], "left").join(F.broadcast(same_seed), "seed", "left")
+        .select(*ENTRY, (F.col("twice") | F.coalesce("_twice", F.lit(False))).alias("twice"), (F.col("mixed") | F.coalesce("_mixed", F.lit(False))).alias("mixed"), "first")
+        .filter("twice OR mixed")
     )
-    return runs.filter("NOT edge").select(*ENTRY, "twice", "mixed", "first").unionByName(bounds)
 
 
 # ---- strings of partly repeated cells

@@ -121,7 +121,7 @@ def _bucket_pass(segments: int, distance: int):
             queue, rest = [rest[0]], rest[1:]
             while queue and len(rest):
                 at = queue.pop()
-                near = _linked(np.full(len(rest), at), rest, masks, distance)
+                near = _linked(np.full(len(rest), at, np.uint64), rest, masks, distance)
                 a += [at] * len(near)
                 b += rest[near].tolist()
                 queue += rest[near].tolist()

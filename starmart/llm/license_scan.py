@@ -7,9 +7,12 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm.common import stage_table
+
 SHINGLE, CONTAINMENT = 5, 0.8
 WINDOW = 4  # shingles of a window: 8 words; two windows share 4 words
 MISS = 0.001
+BROADCAST_ROWS = 500_000  # bands of templates, 24 bytes and their shingles each
 
 # fixed values: public license notices, one name each
 TEMPLATES = {
@@ -72,7 +75,9 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
         .filter(F.size("own") > 0).distinct()
     )
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), found.alias("_words")).select("doc_id", "text_key", hashes.alias("hashes"))
-    marks = _banded(known, ["license_id", "own"], 1, bands).distinct()
+    marks = stage_table(_banded(known, ["license_id", "own"], 1, bands).distinct(), "template-bands")
+    # so that windows stay where they are; a larger set of templates is joined by a shuffle
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks
     candidates = (
         _banded(rows, ["doc_id", "text_key"], WINDOW, bands).join(marks, "band")
         .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("license_id", "own")).alias("retrieved"))

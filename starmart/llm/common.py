@@ -28,6 +28,15 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Deletes a table made by `stage_table` once nothing reads it any more."""
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def with_fields(schema: T.StructType, **types: T.DataType) -> T.StructType:
     """``schema`` with these fields at its end; fields of the same name are replaced."""
     kept = [f for f in schema if f.name not in types]

@@ -82,7 +82,7 @@ class Segment:
         if not len(self.terms):
             return np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        return at, np.where(self.terms[at] == terms, np.diff(self.heads)[at], 0)
+        return at, np.where(self.terms[at] == terms, np.diff(self.heads)[at], 0).astype(np.int64)
 
     def positions(self, term: int) -> np.ndarray:
         if term not in self.lists:

@@ -14,6 +14,8 @@ from starmart.llm.common import SPACED_BYTES, blocks, prefix_sums, stretch_hashe
 
 BUCKETS = 1 << 18  # hashed words
 BINS = 16  # steps of each shape figure
+STEMS = (4, 6)  # bytes a word begins with, hashed besides the word: what stands for words that were not in the sample
+TIMES = 4  # counts of a stem in a text that are told apart: once, twice, ... this often or more
 SHAPES = ("symbols", "upper", "distinct", "word_length", "length", "lines")
 SIZE = BUCKETS + BINS * len(SHAPES)
 SAMPLE = 12_000
@@ -32,16 +34,24 @@ _EDGE[[ord(c) for c in ".,;:!?()\"'#*$%&|<>"]] = False
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of the rows one after another, each once a row, and where each row begins.
 
-    Words (A-Z lower-cased, without punctuation at their ends) are hashed into buckets. Shape figures of the whole text
+    Words (A-Z lower-cased, without punctuation at their ends) and their beginnings, these by count, are hashed into
+    buckets. Shape figures of the whole text
     (shares of symbols, capitals and distinct words, word length, number of words and lines) are cut into steps, one
     feature a step. A text without words has its shape only.
     """
     data, offsets = utf8(texts)
     rows = len(offsets) - 1
     low, starts, ends, bounds = words(data, offsets, _EDGE)
-    buckets = (stretch_hashes(prefix_sums(low), starts, ends) & np.uint64(BUCKETS - 1)).astype(np.int64)
-    row = np.repeat(np.arange(rows), np.diff(bounds))
-    pairs = np.unique(row * SIZE + buckets)
+    sums, row = prefix_sums(low), np.repeat(np.arange(rows), np.diff(bounds)) * SIZE
+
+    def in_buckets(stops: np.ndarray, salt: int, times: int = 1) -> np.ndarray:
+        hashes = stretch_hashes(sums, starts, stops) + np.uint64(salt)
+        found, many = np.unique(row + (hashes & np.uint64(BUCKETS - 1)).astype(np.int64), return_counts=True)
+        more = [found[many >= k] for k in range(2, times + 1)]  # each step of a count is a feature, elsewhere in the buckets
+        return np.concatenate([found, *(x - x % SIZE + (x % SIZE + 104_729 * k) % BUCKETS for k, x in enumerate(more, 1))])
+
+    pairs = in_buckets(ends, 0)
+    stems = [in_buckets(np.minimum(starts + n, ends), 7919 * n, TIMES) for n in STEMS]
     n_words, n_bytes = np.diff(bounds), np.diff(offsets)
 
     def share(members: np.ndarray) -> np.ndarray:
@@ -57,7 +67,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         np.log2(1 + np.diff(np.r_[0, np.cumsum(data == 10)][offsets])),
     ]
     steps = np.stack([BUCKETS + i * BINS + np.clip(x, 0, BINS - 1).astype(np.int64) for i, x in enumerate(figures)], 1)
-    every = np.sort(np.r_[pairs, (np.arange(rows)[:, None] * SIZE + steps).ravel()])
+    every = np.sort(np.concatenate([pairs, *stems, (np.arange(rows)[:, None] * SIZE + steps).ravel()]))
     return every % SIZE, np.searchsorted(every, np.arange(rows + 1) * SIZE)
 
 
@@ -80,7 +90,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(numbers: np.ndarray, heads: np.ndarray, grades: np.ndarray, top: int, epochs: int = 12, rate: float = 0.1, l1: float = 2e-5, least_rows: int = 3) -> OrdinalModel:
+def fit(numbers: np.ndarray, heads: np.ndarray, grades: np.ndarray, top: int, epochs: int = 12, rate: float = 0.25, l1: float = 1e-3, least_rows: int = 5) -> OrdinalModel:
     """Cumulative-link regression by adaptive gradient steps over small batches, with an L1 penalty.
 
     Features in fewer than ``least_rows`` rows keep weight 0. Thresholds stay ordered: the first is free, each later one
@@ -115,8 +125,9 @@ def fit(numbers: np.ndarray, heads: np.ndarray, grades: np.ndarray, top: int, ep
             step = rate / np.sqrt(squares[used])
             moved = weights[used] - step * slope
             weights[used] = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
-            p = np.maximum(upper - lower, 1e-9)
-            by_edge = np.bincount(y + 1, -upper * (1 - upper) / p, top + 2) + np.bincount(y, lower * (1 - lower) / p, top + 2)
+            # slopes of -log(upper - lower) in both edges, in a form that stays exact where upper and lower meet
+            apart = 1 - np.exp(-(edge[y + 1] - edge[y]))
+            by_edge = np.bincount(y + 1, -(1 - upper) / np.maximum(1 - lower, 1e-12) / apart, top + 2) + np.bincount(y, lower / upper / apart, top + 2)
             slope = np.cumsum(by_edge[1:-1][::-1])[::-1] / len(batch)  # an edge moves with each step before it
             slope[1:] *= np.exp(raw[1:])
             raw_squares += slope**2

@@ -163,8 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **settings)
     # at most `sample` ids are broadcast, and as many rows of numbers collected
     known = statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["_quality"]).filter(~base_failed())
     rows = sorted(tuple(r) for r in known.select((F.col("_quality") == 0).alias("bad"), *(c.alias(k) for k, c in feature_columns().items())).collect())
-    table = np.array(rows, float).reshape(len(rows), -1)
-    return learn({k: table[:, i + 1] for i, k in enumerate(feature_columns())}, table[:, 0] > 0, **settings) if rows else []
+    if not rows:
+        return []
+    table = np.array(rows, float)
+    return learn({k: table[:, i + 1] for i, k in enumerate(feature_columns())}, table[:, 0] > 0, **settings)
 
 
 def verdict(rules: list[Rule]) -> tuple[Column, Column]:

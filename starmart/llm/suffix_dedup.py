@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.bloom import filter_bits, suspected, twice_filter
-from starmart.llm.common import blocks, prefix_sums, stage_table, stretch_hashes, utf8
+from starmart.llm.common import blocks, prefix_sums, stage_table, stretch_hashes, unstage, utf8
 
 LENGTH, SEED = 200, 100
 MAX_FILTER_BITS = 1 << 30
@@ -283,7 +283,8 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, max_fi
         ]
     )
     entries = stage_table(texts.select("doc_id", "text_key", "text").mapInArrow(_entry_pass(length, seed, packed), schema), "suffixes")
-    runs = stage_table(sorted_runs(entries, "suffix-runs"), "suffix-marks")
+    runs = sorted_runs(entries, "suffix-runs")
+    unstage(entries)  # what sorted_runs returns reads what it has written itself
     marks = (
         runs.filter("mixed AND first").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n", "twice")).alias("marks"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "marks")
@@ -292,7 +293,9 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, max_fi
     match = (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     near = _only(texts, marks.select(F.col("_key").alias("text_key")), max_filter_bits).join(marks, match)
     strings = near.select("text", "doc_id", "text_key", "marks").mapInArrow(_string_pass(length), schema)
-    again = sorted_runs(stage_table(strings, "strings"), "string-runs").filter("twice AND low >= 0")
+    strings = stage_table(strings, "strings")
+    again = sorted_runs(strings, "string-runs").filter("twice AND low >= 0")
+    unstage(strings)
     spans = (
         runs.filter("twice").unionByName(again).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")

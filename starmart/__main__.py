@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from starmart.plans import load, serving
 from starmart.schemas import TABLE_DDL
@@ -29,6 +29,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     loading.add_argument("--servers", help="bootstrap servers of the topic")
     loading.add_argument("--min-partitions", type=int)
     loading.add_argument("--checkpoint", help="read as a stream, with progress kept in this folder")
+    loading.add_argument("--max-offsets", type=int, help="messages of a micro-batch at most, of a topic")
+    loading.add_argument("--max-files", type=int, help="files of a micro-batch at most")
 
     export = commands.add_parser("export", help="append new rows of a table to a relational table")
     export.add_argument("table", choices=list(TABLE_DDL))
@@ -52,16 +54,18 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     show.add_argument("--gp")
     show.add_argument("--d1")
     show.add_argument("--d2")
-    show.add_argument("--rows", type=int, default=20)
+    show.add_argument("--rows", type=int, help="show so many rows; all if not given")
     return parser.parse_args(argv)
 
 
 def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.checkpoint:
         if args.files:
-            raw = stream_files(spark, args.files, spark.read.parquet(args.files).schema)
+            raw = stream_files(spark, args.files, spark.read.parquet(args.files).schema, max_files=args.max_files)
         else:
-            raw = stream_topic(spark, args.servers, args.topic, min_partitions=args.min_partitions)
+            raw = stream_topic(
+                spark, args.servers, args.topic, max_offsets=args.max_offsets, min_partitions=args.min_partitions
+            )
         load.load_stream(spark, raw, args.event_type, args.warehouse, args.checkpoint)
         return
     if args.files:
@@ -73,6 +77,14 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
         load.refresh_marts(spark, args.warehouse, seasons)
 
 
+def display(rows: DataFrame, most: int | None = None) -> None:
+    """Print all rows, or the first ``most`` and how many are left out."""
+    n = rows.count()
+    rows.show(n if most is None else most, truncate=False)
+    if most is not None and n > most:
+        print(f"{n - most} more rows")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(input_bytes=args.input_gb and args.input_gb * 10**9)
@@ -84,11 +96,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "marts":
         load.refresh_marts(spark, args.warehouse, args.seasons)
     elif args.command == "check":
-        load.check_constraints(spark, args.warehouse).show(200, truncate=False)
+        display(load.check_constraints(spark, args.warehouse))
     else:
         serving.register_views(spark, args.warehouse)
         given = {name: getattr(args, name) for name in ("year", "gp", "d1", "d2") if getattr(args, name) is not None}
-        serving.page(spark, args.name, **given).show(args.rows, truncate=False)
+        display(serving.page(spark, args.name, **given), args.rows)
 
 
 if __name__ == "__main__":

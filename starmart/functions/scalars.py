@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def entity_key(value: Column) -> Column:
@@ -33,21 +32,3 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
         else:
             added[name] = default if isinstance(default, Column) else F.lit(default)
     return df.withColumns(added) if added else df
-
-
-def order_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases as the column's value increases; used only to cut an order in pieces."""
-    kind = df.schema[name].dataType
-    value = F.col(name)
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        # built from its own fields, so that the session's time zone plays no part
-        day = F.unix_date(value.cast("date")) * F.lit(86400.0)
-        clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.extract(F.lit("SECOND"), value).cast("double")
-        return day + clock
-    raise TypeError(f"cannot order by {name}: {kind.simpleString()} is neither a number nor a time")

@@ -34,6 +34,11 @@ def number_text(raw: Column) -> Column:
     return F.trim(F.btrim(raw, F.lit('"')))
 
 
+def has_number_text(raw: Column) -> Column:
+    """Whether a JSON scalar says something: neither missing, empty nor a spelling of no value."""
+    return F.coalesce(~F.lower(number_text(raw)).isin("", "nan", "null", "none"), F.lit(False))
+
+
 def lenient(raw: Column, target: T.DataType) -> Column:
     """Parse JSON scalar text as ``target``; text that does not fit becomes NULL, never an error.
 

@@ -6,35 +6,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.functions.text import lenient
+from starmart.functions.text import has_number_text, lenient
 
 CORRUPT = "_corrupt_record"
+MISFIT = "_misfit"
 REASON = "_reason"
 
 
-def decode_messages(raw: DataFrame, schema: T.StructType, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+def decode_messages(
+    raw: DataFrame, schema: T.StructType, value: str = "value", keep: list[str] | None = None, misfits: bool = False
+) -> DataFrame:
     """Expand the JSON in ``value`` to the typed columns of ``schema``.
 
     Fields are read as text first and then parsed leniently, so ``1``, ``1.0`` and ``"1"`` all
     decode to the integer 1. Text that is not one JSON object is kept in ``_corrupt_record``
-    (NULL for a good row). ``keep`` names columns of ``raw`` to carry along.
+    (NULL for a good row); a second object or other text behind the first makes it unreadable.
+    ``keep`` names columns of ``raw`` to carry along. With ``misfits``, ``_misfit`` names the
+    fields whose text was there but is no value of their type (NaN and null apart), NULL if none.
     """
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, CORRUPT]])
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
     text = F.col(value).cast("string")
+    # in brackets, whatever stands behind the first object breaks the array or makes it longer
+    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(as_text))
+    raw = raw.select(*(keep or []), text.alias("__text"), items.alias("__items"))
     # inline() makes the parsed fields columns of their own, so that a later filter on one of
     # them works on the parsed text and does not parse the message a second time
-    data = F.from_json(text, as_text, {"columnNameOfCorruptRecord": CORRUPT})
-    names = [f"__{name}" for name in as_text.names]
-    parsed = raw.select(*(keep or []), text.alias("__text"), F.inline(F.array(data)).alias(*names))
-    empty = F.col("__text").isNull() | (F.trim("__text") == "")
-    unreadable = F.when(empty, F.coalesce(F.col("__text"), F.lit(""))).otherwise(F.col(f"__{CORRUPT}"))
-    fields = [lenient(F.col(f"__{f.name}"), f.dataType).alias(f.name) for f in schema]
-    return parsed.select(*(keep or []), *fields, unreadable.alias(CORRUPT))
+    one = (F.size("__items") == 1) & F.get("__items", F.lit(0)).isNotNull()
+    whole = F.struct(F.coalesce(one, F.lit(False)).alias("__one"), *[F.get("__items", F.lit(0))[n].alias(f"__{n}") for n in as_text.names])
+    parsed = raw.select(*(keep or []), "__text", F.inline(F.array(whole)))
+    unreadable = F.when(~F.col("__one"), F.coalesce(F.col("__text"), F.lit("")))
+    values = {f.name: F.when(F.col("__one"), lenient(F.col(f"__{f.name}"), f.dataType)) for f in schema}
+    columns = [value.alias(name) for name, value in values.items()]
+    if misfits:
+        lost = [F.when(has_number_text(F.col(f"__{n}")) & v.isNull() & F.col("__one"), F.lit(n)) for n, v in values.items()]
+        columns.append(F.nullif(F.concat_ws(",", *lost), F.lit("")).alias(MISFIT))
+    return parsed.select(*(keep or []), *columns, unreadable.alias(CORRUPT))
 
 
 def with_reason(df: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
-    """Add ``_reason``: the first failed rule of a row, NULL for a good row. A rule states what must hold."""
+    """Add ``_reason``: the first failed rule of a row, NULL for a good row. A rule states what must hold.
+
+    An unreadable message comes before a field that does not fit, and both before the rules.
+    """
     reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable")) if CORRUPT in df.columns else None
+    if MISFIT in df.columns:
+        told = F.concat(F.lit("misfit:"), F.col(MISFIT))
+        reason = F.when(F.col(MISFIT).isNotNull(), told) if reason is None else reason.when(F.col(MISFIT).isNotNull(), told)
     for name, holds in (rules or {}).items():
         broken = ~F.coalesce(holds, F.lit(False))
         reason = F.when(broken, F.lit(name)) if reason is None else reason.when(broken, F.lit(name))
@@ -44,5 +61,5 @@ def with_reason(df: DataFrame, rules: dict[str, Column] | None = None) -> DataFr
 def split_quarantine(df: DataFrame, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with their ``_reason``). Both read ``df``: pass a staged frame if it is costly."""
     marked = with_reason(df, rules)
-    good = marked.filter(F.col(REASON).isNull()).drop(REASON, CORRUPT)
+    good = marked.filter(F.col(REASON).isNull()).drop(REASON, CORRUPT, MISFIT)
     return good, marked.filter(F.col(REASON).isNotNull())

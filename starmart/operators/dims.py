@@ -67,8 +67,9 @@ def assign_keys(
     return numbered.select(out, *df.columns)
 
 
-# room for 2 ** 44 rows per race, below a 5-digit year and 2-digit round in a BIGINT
-FACT_KEY_BITS = 44
+# a BIGINT holds 15 bits of year, 15 of round (both SMALLINT and not negative) and 33 for the row
+ROUND_BITS = 15
+FACT_KEY_BITS = 33
 
 
 def assign_fact_keys(rows: DataFrame, natural_key: list[str], out: str, race: Column, known: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Ranks, positions and neighbours within groups, without a task per group.
 
-Each operator first counts its input. Up to `cells.ROWS_PER_CELL` rows it is a plain window;
-beyond that the order is cut into cells (see `cells`). Inputs are read more than once and
-have to give the same values each time: pass a scan, or a staged frame when they are costly
-or hold sums of floating-point numbers.
+One plan for all sizes: rows (or, for ranks, distinct scores) are cut into ranges of their sort order (see `ranges`), a
+window works within each range, and at most one row per range carries on what a group has before it. Values are compared
+in their own types. Inputs are read more than once and have to give the same values each time: pass a scan, or a staged
+frame when they are costly or hold sums of floating-point numbers.
 """
 
 from __future__ import annotations
@@ -11,11 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.cells import CELL, cell_cuts, cells_needed, place, with_cells
-
-
-# spark.sql.optimizer.windowGroupLimitThreshold, at its default
-GROUP_LIMIT = 1000
+from starmart.operators.ranges import RANGE, earlier_total, in_ranges
 
 
 def _match(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
@@ -27,49 +23,30 @@ def _match(left: DataFrame, right: DataFrame, columns: list[str], how: str = "le
     return left.join(right, condition, how).drop(*[f"__r_{c}" for c in columns])
 
 
-def _before(df: DataFrame, keys: list[str], weight, out: str) -> DataFrame:
-    """Per (keys, cell): the total ``weight`` of the key's earlier cells. One small row per cell."""
-    earlier = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*keys, CELL).agg(F.sum(weight).alias("__weight"))
-    return totals.select(*keys, CELL, F.coalesce(F.sum("__weight").over(earlier), F.lit(0)).alias(out))
-
-
 def rank_within(df: DataFrame, by: list[str], score: str, out: str = "championship_rank") -> DataFrame:
     """RANK() of each row within ``by``, best (largest) score first; ties share a rank, missing scores come last.
 
-    At scale it ranks the distinct scores: rank = 1 + number of rows with a better score. Rows
-    that share a score are counted on the map side and get their rank by an equi-join, which
-    adaptive execution splits if one score is very common.
+    It ranks the distinct scores: rank = 1 + number of rows with a better score. Rows that share a score are counted on
+    the map side and get their rank by an equi-join, which adaptive execution splits if one score is very common.
     """
-    cells = cells_needed(df)
-    if cells == 1:
-        best_first = Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())
-        return df.withColumn(out, F.rank().over(best_first))
-
-    down = (-F.col(score)).alias("__down")
-    # cut by rows, which needs no shuffle; a cell's distinct scores are at most its rows
-    cuts = cell_cuts(df.select(down), ["__down"], cells)
+    best_first = F.col(score).desc_nulls_last()
     scores = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__rows"))
-    scores = place(scores.select("*", down), ["__down"], cuts)
-    in_cell = (
-        Window.partitionBy(*by, CELL)
-        .orderBy(F.col("__down").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranks = scores.withColumn("__local", F.coalesce(F.sum("__rows").over(in_cell), F.lit(0)))
-    ranks = _match(ranks, _before(scores, by, F.col("__rows"), "__offset"), [*by, CELL])
-    ranks = ranks.select(*by, score, (F.col("__offset") + F.col("__local") + 1).cast("int").alias(out))
+    scores = in_ranges(scores, by, [best_first], "scores")
+    better = Window.partitionBy(*by, RANGE).orderBy(best_first).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = scores.withColumn("__local", F.coalesce(F.sum("__rows").over(better), F.lit(0)))
+    ranks = _match(ranks, F.broadcast(earlier_total(scores, by, F.col("__rows"), "__offset")), [*by, RANGE])
+    ranks = ranks.select(*by, score, (F.coalesce("__offset", F.lit(0)) + F.col("__local") + 1).cast("int").alias(out))
     return _match(df, ranks, [*by, score])
 
 
 def top_ranked(df: DataFrame, by: list[str], score: str, k: int, out: str = "championship_rank") -> DataFrame:
     """Rows whose rank within ``by`` is at most ``k``, ties included.
 
-    At most k distinct scores per group can qualify. Finding them is a group limit on the
-    distinct scores (applied before the shuffle), so a score shared by most rows costs nothing.
-    Spark plans a group limit up to `GROUP_LIMIT`; a longer list is cut from the full ranking.
+    At most k distinct scores per group can qualify. Finding them is a group limit on the distinct scores (applied before
+    the shuffle), so a score shared by most rows costs nothing. Spark plans such a limit up to its own setting; a longer
+    list is cut from the full ranking.
     """
-    if k > GROUP_LIMIT:
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         return rank_within(df, by, score, out).filter(F.col(out) <= k)
     best_first = Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())
     better = best_first.rowsBetween(Window.unboundedPreceding, -1)
@@ -81,16 +58,16 @@ def top_ranked(df: DataFrame, by: list[str], score: str, k: int, out: str = "cha
 
 
 def position_within(df: DataFrame, keys: list[str], order_by: list[str], out: str = "position_no") -> DataFrame:
-    """ROW_NUMBER() of each row within ``keys`` along ``order_by`` (ascending, nulls last)."""
-    order = [F.col(c).asc_nulls_last() for c in order_by]
-    cells = cells_needed(df)
-    if cells == 1:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    """ROW_NUMBER() of each row within ``keys`` along ``order_by`` (ascending, nulls last).
 
-    placed = with_cells(df, order_by, cells)
-    local = placed.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, CELL).orderBy(*order)))
-    numbered = _match(local, _before(placed, keys, F.lit(1), "__offset"), [*keys, CELL])
-    return numbered.withColumn(out, F.col("__offset") + F.col("__local")).drop("__offset", "__local", CELL)
+    Rows equal in all of ``order_by`` share a range: give a tie-break where one value may hold very many rows.
+    """
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    placed = in_ranges(df, keys, order)
+    local = placed.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, RANGE).orderBy(*order)))
+    offsets = F.broadcast(earlier_total(placed, keys, F.lit(1), "__offset"))
+    numbered = _match(local, offsets, [*keys, RANGE])
+    return numbered.withColumn(out, F.coalesce("__offset", F.lit(0)) + F.col("__local")).drop("__offset", "__local", RANGE)
 
 
 def every_nth(df: DataFrame, keys: list[str], order_by: list[str], n: int) -> DataFrame:
@@ -102,22 +79,18 @@ def every_nth(df: DataFrame, keys: list[str], order_by: list[str], n: int) -> Da
 def previous_value(df: DataFrame, keys: list[str], order_by: list[str], value: str, out: str) -> DataFrame:
     """LAG(value) within ``keys`` along ``order_by`` (ascending, nulls last); the first row of a key gets NULL.
 
-    At scale the first row of each cell takes the last value of the key's previous cell.
+    Where a key goes on in a later range, its first row there takes the last value of the range before.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    cells = cells_needed(df)
-    if cells == 1:
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    placed = with_cells(df, order_by, cells)
-    in_cell = Window.partitionBy(*keys, CELL).orderBy(*order)
+    placed = in_ranges(df, keys, order)
+    in_range = Window.partitionBy(*keys, RANGE).orderBy(*order)
     # nulls sort last: compare "is missing" before the value itself
     sort_key = F.struct(*[part for c in order_by for part in (F.col(c).isNull(), F.col(c))])
-    last = placed.groupBy(*keys, CELL).agg(F.max_by(F.col(value), sort_key).alias("__last"))
-    carried = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy(*keys).orderBy(CELL))).drop("__last")
-    local = placed.withColumns(
-        {"__local": F.lag(value).over(in_cell), "__first": F.row_number().over(in_cell) == 1}
-    )
-    joined = _match(local, carried, [*keys, CELL])
+    last = placed.groupBy(*keys, RANGE).agg(F.max_by(F.col(value), sort_key).alias("__last"))
+    along = Window.partitionBy(*keys).orderBy(RANGE)
+    carried = last.select(*keys, RANGE, F.lag("__last").over(along).alias("__carried"), F.row_number().over(along).alias("__nth"))
+    carried = carried.filter("__nth > 1").drop("__nth")
+    local = placed.withColumns({"__local": F.lag(value).over(in_range), "__first": F.row_number().over(in_range) == 1})
+    joined = _match(local, F.broadcast(carried), [*keys, RANGE])
     chosen = F.when(F.col("__first"), F.col("__carried")).otherwise(F.col("__local"))
-    return joined.withColumn(out, chosen).drop("__local", "__first", "__carried", CELL)
+    return joined.withColumn(out, chosen).drop("__local", "__first", "__carried", RANGE)

@@ -310,3 +310,53 @@ def keyed_messages(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.year("ts").alias("year"), F.col("event_type").alias("gp_name"), "value")
     messages = to_messages(rows, "weather").withColumn("key", F.col("key").cast("string"))
     return plain(events.unit_counts(messages, ["topic", "key"]))
+
+
+@query(
+    """
+    SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS position_no
+    FROM orders
+    """
+)
+def string_positions(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderkey")
+    return plain(windows.position_within(orders, ["o_custkey"], ["o_orderpriority", "o_orderkey"]).select("o_orderkey", "position_no"))
+
+
+@query(
+    """
+    SELECT o_orderkey, rank() OVER (PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST) AS newest_rank
+    FROM orders
+    """
+)
+def date_ranks(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
+    return plain(windows.rank_within(orders, ["o_orderpriority"], "day", "newest_rank").select("o_orderkey", "newest_rank"))
+
+
+@query(
+    """
+    SELECT CASE o_orderkey % 7 WHEN 1 THEN 'misfit:position' WHEN 2 THEN 'misfit:position,points' WHEN 3 THEN 'unreadable'
+                               WHEN 4 THEN 'unreadable' WHEN 5 THEN 'missing_points' END AS reason,
+           count(*) AS messages
+    FROM orders GROUP BY 1
+    """
+)
+def quarantine_fields(spark, sf_dir):
+    """Messages with a broken field, a second object or text behind the first, and what is said of them."""
+    at = F.col("o_orderkey") % 7
+    bad = {
+        1: '{"position": 1.5, "points": 3}',
+        2: '{"position": "x", "points": "abc"}',
+        3: '{"position": 1, "points": 3} {"position": 2, "points": 4}',
+        4: '{"position": 1, "points": 3} trailing',
+        5: '{"position": 1, "points": NaN}',
+        6: '{"position": "2.0", "points": 3}  ',
+    }
+    value = F.lit('{"position": 7, "points": 1.5}')
+    for number, text in bad.items():
+        value = F.when(at == number, F.lit(text)).otherwise(value)
+    schema = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("points", T.DoubleType())])
+    rows = decode.decode_messages(table(spark, sf_dir, "orders").select(value.alias("value")), schema, misfits=True)
+    marked = decode.with_reason(rows, {"missing_points": F.col("points").isNotNull()})
+    return plain(marked.groupBy(F.col(decode.REASON).alias("reason")).agg(F.count(F.lit(1)).alias("messages")))

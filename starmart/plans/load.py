@@ -58,7 +58,7 @@ def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFra
     fact = FACT_OF[event_type]
     # counted while being written: no extra job
     seen = Observation(event_type)
-    decoded = decode.decode_messages(raw, message_schema(event_type))
+    decoded = decode.decode_messages(raw, message_schema(event_type), misfits=True)
     counts = [F.count(F.lit(1)).alias("messages"), F.count(decode.CORRUPT).alias("unreadable")]
     rows = stage(decoded.observe(seen, *counts), event_type)
     log.info("%s: %d messages, %d unreadable", event_type, seen.get["messages"], seen.get["unreadable"])
@@ -67,6 +67,8 @@ def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFra
     sized.pop("sampled_at", None)
     broken = quality.row_rules(not_null=NOT_NULL.get(fact), types=sized)
     broken |= {f"not_null:{c}": entity_key(F.col(c)).isNull() for c in NEEDED.get(event_type, [])}
+    # a race's number in a fact key has no room for a sign
+    broken |= {f"range:{c}": F.col(c) < 0 for c in ("year", "round") if c in rows.columns and fact in SURROGATE_KEY}
     good, bad = decode.split_quarantine(rows, {name: ~condition for name, condition in broken.items()})
     if not bad.isEmpty():
         append_table(bad.withColumn("_quarantined_at", F.current_timestamp()), f"{warehouse}/quarantine/{event_type}", [])
@@ -94,7 +96,7 @@ def store_fact(spark: SparkSession, warehouse: str, table: str, rows: DataFrame)
         if known is None:
             known = spark.createDataFrame([], table_schema(table))
         known = touched_partitions(known, rows, parts, values)
-        race = F.col("year").cast("bigint") * 100 + F.col("round")
+        race = F.shiftleft(F.col("year").cast("bigint"), dims.ROUND_BITS) + F.col("round")
         rows = dims.assign_fact_keys(rows, keys, key, race, known).select(*table_schema(table).names)
     upsert_table(spark, path, rows, keys, ["ingested_at"], parts, SORTED_BY[table], values)
 
@@ -286,6 +288,8 @@ def check_constraints(spark: SparkSession, warehouse: str) -> DataFrame:
             references["dim_tyre"] = (tyres, {"compound": "compound"})
         rules = quality.row_rules(not_null=NOT_NULL.get(table), max_length=MAX_LENGTH.get(table))
         part = quality.constraint_report(rows, table, rules, keys, references)
+        if key := SURROGATE_KEY.get(table):
+            part = part.unionByName(quality.constraint_report(rows, table, unique=[key]))
         report = part if report is None else report.unionByName(part)
     return report
 

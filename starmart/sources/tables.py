@@ -71,14 +71,19 @@ def touched_partitions(
     """The rows of ``table`` in the partitions that ``incoming`` has rows for.
 
     The partition values are listed in a filter, which prunes directories before any file is
-    opened (a join would read the whole table). If there are too many, a semi join takes over.
+    opened. If there are too many, the leading column's values are listed as far as that is
+    possible, and a join in which NULL matches NULL picks the partitions.
     """
     if not partition_by:
         return table
     values = partition_values(incoming, partition_by) if values is None else values
-    if values is None:
-        return table.join(incoming.select(*partition_by).distinct(), partition_by, "left_semi")
     first, *others = partition_by
+    if values is None:
+        if others and (leading := partition_values(incoming, [first])) is not None:
+            table = table.filter(reduce(lambda a, b: a | b, [F.col(first).eqNullSafe(F.lit(v[0])) for v in leading]))
+        wanted = incoming.select(*[F.col(c).alias(f"__p_{c}") for c in partition_by]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in partition_by])
+        return table.join(wanted, same, "left_semi")
     by_first: dict = {}
     for row in values:
         by_first.setdefault(row[0], []).append(row[1:])

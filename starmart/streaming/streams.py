@@ -51,8 +51,14 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: list[s
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     run = writer.trigger(availableNow=True).start()
-    run.awaitTermination()
-    return sum(state.numRowsDroppedByWatermark for step in run.recentProgress for state in step.stateOperators)
+    dropped: dict[int, int] = {}
+    done = False
+    while not done:  # Spark keeps the last updates only, so they are added up as they come
+        done = run.awaitTermination(0.5)
+        for step in run.recentProgress:
+            late = sum(state.numRowsDroppedByWatermark for state in step.stateOperators)
+            dropped[step.batchId] = max(late, dropped.get(step.batchId, 0))
+    return sum(dropped.values())
 
 
 def each_batch(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
@@ -92,11 +98,18 @@ def totals_stream(
     """Keep running totals per group in a table.
 
     Update mode hands over only the groups that changed; each replaces its older total, told
-    apart by the batch number.
+    apart by the batch number. Numbers begin anew with a new checkpoint, so a table that another
+    checkpoint has filled further is refused.
     """
+    checked = []
     running = rows.groupBy(*by).agg(*[measure.alias(name) for name, measure in measures.items()])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        known = None if checked else read_table(batch.sparkSession, path)
+        newest = known.agg(F.max("batch_id")).first()[0] if known is not None else None
+        if newest is not None and newest > batch_id:
+            raise ValueError(f"{path} holds totals up to batch {newest} of another checkpoint; batch {batch_id} would be lost")
+        checked.append(batch_id)
         stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
         try:
             upsert_table(batch.sparkSession, path, stamped, by, ["batch_id"], partition_by, by)

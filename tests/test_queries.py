@@ -1,8 +1,8 @@
-"""Every registered query against its SQL, with plain windows and with cells forced on small data."""
+"""Every registered query against its SQL, and windowed ones with very many ranges."""
 
 import pytest
 
-from starmart.operators.cells import ROWS_PER_CELL
+from starmart.operators.ranges import RANGES
 from starmart.plans.queries import QUERIES, SQL
 from tests.oracle import connect, spark_rows, sql_columns, sql_rows
 
@@ -30,10 +30,10 @@ def test_matches_sql(spark, sf_dir, duck, name):
 
 
 @pytest.mark.parametrize("name", WINDOWED)
-def test_matches_sql_in_cells(spark, sf_dir, duck, name):
-    spark.conf.set(ROWS_PER_CELL, "97")
+def test_matches_sql_in_many_ranges(spark, sf_dir, duck, name):
+    spark.conf.set(RANGES, "97")
     try:
         got = spark_rows(QUERIES[name](spark, sf_dir))
     finally:
-        spark.conf.unset(ROWS_PER_CELL)
+        spark.conf.unset(RANGES)
     assert got == sql_rows(duck, SQL[name])

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from starmart.operators import dims, facts, marts, quality
 from starmart.schemas import table_schema
+from starmart.sources import tables
 from starmart.sources.tables import read_table, touched_partitions, upsert_table, write_partitioned
 
 
@@ -174,3 +175,23 @@ def test_filtering_a_season_before_or_after_ranking_is_the_same(spark, sf_dir):
     before = rank_within(season.filter("year = 1998"), ["year"], "total_points")
     assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
     assert "WindowGroupLimit" in plan_of(top_ranked(season, ["year"], "total_points", 3))
+
+
+def test_upsert_beyond_the_listed_partitions_keeps_null_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
+    path, schema = str(tmp_path / "t"), "year int, round int, k int, v int"
+    first = [(2023, 1, 1, 0), (None, 1, 2, 0), (2024, None, 3, 0), (None, None, 4, 0), (2025, 1, 5, 0)]
+    tables.upsert_table(spark, path, spark.createDataFrame(first, schema), ["year", "round", "k"], ["v"], ["year", "round"])
+    more = [(2023, 1, 1, 9), (None, 1, 6, 9), (2024, None, 7, 9), (None, None, 8, 9)]
+    tables.upsert_table(spark, path, spark.createDataFrame(more, schema), ["year", "round", "k"], ["v"], ["year", "round"])
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {1: 9, 2: 0, 3: 0, 4: 0, 5: 0, 6: 9, 7: 9, 8: 9}
+
+
+def test_fact_keys_of_all_races_differ(spark):
+    rows = spark.createDataFrame([(y, r, "d") for y in (0, 2023, 2024, 32767) for r in (0, 1, 100, 32767)], "year int, round int, driver_id string")
+    race = F.shiftleft(F.col("year").cast("bigint"), dims.ROUND_BITS) + F.col("round")
+    known = spark.createDataFrame([], "year int, round int, driver_id string, result_id bigint")
+    keyed = dims.assign_fact_keys(rows, ["year", "round", "driver_id"], "result_id", race, known)
+    keys = [r.result_id for r in keyed.collect()]
+    assert len({k >> dims.FACT_KEY_BITS for k in keys}) == 16 and min(keys) > 0

@@ -6,16 +6,17 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starmart.operators import cells, windows
+from starmart.operators import ranges, windows
 
 
-@pytest.fixture(params=["1000000", "20"], ids=["plain", "cells"])
+@pytest.fixture(params=["1", "29"], ids=["one range", "many ranges"])
 def mode(spark, request):
-    spark.conf.set(cells.ROWS_PER_CELL, request.param)
+    spark.conf.set(ranges.RANGES, request.param)
     yield request.param
-    spark.conf.unset(cells.ROWS_PER_CELL)
+    spark.conf.unset(ranges.RANGES)
 
 
 def skewed_rows(seed=7, n=600):
@@ -111,20 +112,45 @@ def test_every_nth_sizes(spark, mode, rows, kept):
     assert all(set(r.asDict()) == {"driver", "sample"} for r in got)
 
 
-def test_cells_are_even_even_if_one_value_is_frequent(spark):
+def test_ranges_follow_the_order_and_are_even(spark):
+    spark.conf.set(ranges.RANGES, "30")
     df = spark.range(9000).select(
         F.when(F.col("id") < 3000, F.lit(500)).otherwise(F.col("id") % 1000).cast("int").alias("t"), F.col("id")
     )
-    placed = cells.with_cells(df, ["t", "id"], 30)
-    sizes = [r["count"] for r in placed.groupBy(cells.CELL).count().collect()]
+    placed = ranges.in_ranges(df, [], [F.col("t"), F.col("id")])
+    spark.conf.unset(ranges.RANGES)
+    sizes = [r["count"] for r in placed.groupBy(ranges.RANGE).count().collect()]
     assert sum(sizes) == 9000 and max(sizes) < 3 * 9000 / 30
-    # cells follow the order
-    spans = placed.groupBy(cells.CELL).agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"))
-    spans = sorted((r[cells.CELL], tuple(r.lo), tuple(r.hi)) for r in spans.collect())
+    spans = placed.groupBy(ranges.RANGE).agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"))
+    spans = sorted((r[ranges.RANGE], tuple(r.lo), tuple(r.hi)) for r in spans.collect())
     assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
 
 
-def test_times_order_cells(spark, mode):
+ORDERS = {
+    "string": [None, "", "a", "B", "ä", "zz"],
+    "date": [None, "2024-01-01", "1999-12-31"],
+    "decimal(20,4)": [None, "1.0001", "1.0002", "-3"],
+    "timestamp": [None, "2024-03-31 01:59:59.999999", "2024-03-31 02:00:00"],
+    "double": [None, "NaN", "-1.5", "0", "Infinity"],
+    "bigint": [None, str(2**60), str(2**60 + 1), "-7"],
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_any_type_gives_the_plain_window_result(spark, mode, kind):
+    rows = [("hot" if i % 3 else "b", i, ORDERS[kind][i * 7 % len(ORDERS[kind])]) for i in range(120)]
+    df = spark.createDataFrame(rows, "grp string, id int, score string").withColumn("score", F.col("score").cast(kind)).repartition(5)
+    along = Window.partitionBy("grp").orderBy(F.col("score").asc_nulls_last(), "id")
+    best = Window.partitionBy("grp").orderBy(F.col("score").desc_nulls_last())
+    want = df.select("id", F.row_number().over(along).alias("n"), F.lag("id").over(along).alias("prev"), F.rank().over(best).alias("rk"))
+    want = {r.id: (r.n, r.prev, r.rk) for r in want.collect()}
+    n = {r.id: r.n for r in windows.position_within(df, ["grp"], ["score", "id"], "n").collect()}
+    prev = {r.id: r.prev for r in windows.previous_value(df, ["grp"], ["score", "id"], "id", "prev").collect()}
+    rk = {r.id: r.rk for r in windows.rank_within(df, ["grp"], "score", "rk").collect()}
+    assert {i: (n[i], prev[i], rk[i]) for i in want} == want
+
+
+def test_times_order_ranges(spark, mode):
     df = spark.range(100).select(
         F.lit(1).alias("k"),
         F.col("id"),
@@ -143,11 +169,11 @@ def test_times_order_cells(spark, mode):
         max_size=60,
     )
 )
-def test_cells_agree_with_plain_windows(spark, pairs):
+def test_ranges_agree_with_plain_windows(spark, pairs):
     rows = [(g, i, s) for i, (g, s) in enumerate(pairs)]
-    spark.conf.set(cells.ROWS_PER_CELL, "7")
+    spark.conf.set(ranges.RANGES, "9")
     try:
         got = windows.rank_within(frame(spark, rows), ["grp"], "score", "rk").collect()
     finally:
-        spark.conf.unset(cells.ROWS_PER_CELL)
+        spark.conf.unset(ranges.RANGES)
     assert {r.id: r.rk for r in got} == want_ranks(rows)

@@ -90,10 +90,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(numbers: np.ndarray, heads: np.ndarray, grades: np.ndarray, top: int, epochs: int = 12, rate: float = 0.25, l1: float = 1e-3, least_rows: int = 5) -> OrdinalModel:
+def fit(numbers: np.ndarray, heads: np.ndarray, grades: np.ndarray, top: int, epochs: int = 12, steps: int = 1600, rate: float = 0.25, l1: float = 1e-3, least_rows: int = 5) -> OrdinalModel:
     """Cumulative-link regression by adaptive gradient steps over small batches, with an L1 penalty.
 
-    Features in fewer than ``least_rows`` rows keep weight 0. Thresholds stay ordered: the first is free, each later one
+    A small sample is gone through more often, up to about ``steps`` batches. Features in fewer than ``least_rows`` rows keep weight 0. Thresholds stay ordered: the first is free, each later one
     adds a positive step. Grades run from 0 to ``top``; without rows all weights are 0.
     """
     weights, squares = np.zeros(SIZE), np.full(SIZE, 1e-6)
@@ -109,8 +109,9 @@ def fit(numbers: np.ndarray, heads: np.ndarray, grades: np.ndarray, top: int, ep
     def thresholds() -> np.ndarray:
         return np.cumsum(np.r_[raw[0], np.exp(raw[1:])])
 
-    for _ in range(epochs if len(grades) else 0):
-        for batch in np.array_split(chance.permutation(len(grades)), max(1, len(grades) // 64)):
+    batches = max(1, len(grades) // 64)
+    for _ in range(min(60, max(epochs, steps // batches)) if len(grades) else 0):
+        for batch in np.array_split(chance.permutation(len(grades)), batches):
             at = np.repeat(heads[batch] - np.r_[0, np.cumsum(lengths[batch])[:-1]], lengths[batch]) + np.arange(lengths[batch].sum())
             own, of = numbers[at], np.repeat(np.arange(len(batch)), lengths[batch])
             score = np.bincount(of, weights[own], len(batch))

@@ -76,6 +76,8 @@ def repeated_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3,
         suspects.groupBy("digest").agg(F.count(F.lit(1)).alias("holders"), F.max("doc_id").alias("keeper"))
         .filter(F.col("holders") >= least_docs).select("digest", "keeper")
     )
+    # staged, so that the join reads both sides through its own exchanges and adaptive execution can split a hot line
+    confirmed = stage_table(confirmed, "line-confirmed")
     return suspects.join(confirmed, "digest").filter("doc_id < keeper").groupBy("doc_id").agg(F.collect_set("digest").alias("digests"))
 
 

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.plans import load, serving
+from starmart.plans import load, publish, serving
 from starmart.schemas import TABLE_DDL
 from starmart.session import build_session
 from starmart.sources.relational import connection
@@ -32,6 +32,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     loading.add_argument("--max-offsets", type=int, help="messages of a micro-batch at most, of a topic")
     loading.add_argument("--max-files", type=int, help="files of a micro-batch at most")
 
+    sending = commands.add_parser("publish", help="publish a session table to its topic")
+    sending.add_argument("event_type", choices=list(publish.MAPPERS))
+    sending.add_argument("--files", required=True, help="Parquet folder of the session table")
+    sending.add_argument("--servers", required=True)
+    sending.add_argument("--prefix", default="", help="what the topic's name begins with")
+
     export = commands.add_parser("export", help="append new rows of a table to a relational table")
     export.add_argument("table", choices=list(TABLE_DDL))
     export.add_argument("--warehouse", required=True)
@@ -90,6 +96,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(input_bytes=args.input_gb and args.input_gb * 10**9)
     if args.command == "load":
         run_load(spark, args)
+    elif args.command == "publish":
+        publish.publish(spark.read.parquet(args.files), args.event_type, args.servers, args.prefix)
     elif args.command == "export":
         password = args.password_env and os.environ[args.password_env]
         load.export_table(spark, args.warehouse, args.table, connection(args.url, args.user, password, args.driver))

@@ -31,12 +31,36 @@ def standings(
     """Totals per (season, entity) and the entity's rank in the season.
 
     The totals are staged: ranking reads them several times, and they are far smaller than
-    the facts. To serve one season, filter ``facts`` first.
+    the facts. To serve one season, filter ``facts`` first: the filter reaches their scan.
     """
     totals = stage(season_totals(facts, [season, entity], measures), "totals")
     return rank_within(totals, [season], score, out)
 
 
+def ranked_drivers(
+    facts: DataFrame, season: str = "year", entity: str = "driver_id", measures: dict[str, Column] | None = None
+) -> DataFrame:
+    """Season standings of drivers, without names."""
+    measures = measures or {
+        "total_points": F.sum("points"),
+        "wins": F.count_if(F.col("is_winner")),
+        "points_finishes": F.count_if(F.col("is_points_finish")),
+    }
+    return standings(facts, season, entity, measures).select(season, entity, *measures, "championship_rank")
+
+
+def with_names(ranked: DataFrame, drivers: DataFrame, entity: str = "driver_id", name: str = "driver_name") -> DataFrame:
+    """Ranked rows with names from the dimension. An unknown driver keeps its row with a NULL name.
+
+    The name is joined to the ranked totals, not to the facts: the dimension's key is unique,
+    so the result is the same and far fewer rows take part. The join is left to Spark, which
+    broadcasts the dimension only while it is small.
+    """
+    first = ranked.columns[: ranked.columns.index(entity) + 1]
+    rest = [c for c in ranked.columns if c not in first]
+    return ranked.join(drivers.select(entity, name), entity, "left").select(*first, name, *rest)
+
+
 def driver_standings(
     facts: DataFrame,
     drivers: DataFrame,
@@ -45,21 +69,8 @@ def driver_standings(
     name: str = "driver_name",
     measures: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Season standings of drivers, with names. An unknown driver keeps a row with a NULL name.
-
-    The name is joined to the ranked totals, not to the facts: the dimension's key is unique,
-    so the result is the same and far fewer rows take part. The join is left to Spark, which
-    broadcasts the dimension only while it is small.
-    """
-    measures = measures or {
-        "total_points": F.sum("points"),
-        "wins": F.count_if(F.col("is_winner")),
-        "points_finishes": F.count_if(F.col("is_points_finish")),
-    }
-    ranked = standings(facts, season, entity, measures)
-    return ranked.join(drivers.select(entity, name), entity, "left").select(
-        season, entity, name, *measures, "championship_rank"
-    )
+    """Season standings of drivers, with names."""
+    return with_names(ranked_drivers(facts, season, entity, measures), drivers, entity, name)
 
 
 def team_standings(
@@ -89,7 +100,8 @@ def pit_strategy(
         mean = mean.cast(T.DecimalType(min(38, kind.precision + 4), kind.scale + 4))
     # the ordered form of listagg exists in SQL only
     order = ", ".join(f"`{c}` ASC NULLS LAST" for c in order_by)
-    sequence = F.expr(f"listagg(`{text}`, '{separator}') WITHIN GROUP (ORDER BY {order})")
+    quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
+    sequence = F.expr(f"listagg(`{text}`, '{quoted}') WITHIN GROUP (ORDER BY {order})")
     return stops.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_stops"),
         mean.alias("avg_pit_duration_sec"),

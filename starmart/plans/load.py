@@ -28,7 +28,7 @@ from starmart.schemas import (
     table_schema,
 )
 from starmart.sources.relational import append_relation, read_relation
-from starmart.sources.staging import stage
+from starmart.sources.staging import cleans_up, stage
 from starmart.sources.tables import (
     append_table,
     partition_values,
@@ -126,6 +126,7 @@ def store_drivers(spark: SparkSession, warehouse: str, results: DataFrame) -> No
     write_partitioned(stage(merged.select(*schema.names), "dim_driver"), path, [], ["driver_id"])
 
 
+@cleans_up
 def load_race_results(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     """Results into drivers, circuits, teams and the result fact; returns the seasons touched."""
     good = decode_and_split(raw, "race_result", warehouse)
@@ -137,6 +138,7 @@ def load_race_results(spark: SparkSession, raw: DataFrame, warehouse: str, now:
     return seasons_of(results)
 
 
+@cleans_up
 def load_pit_stops(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     good = decode_and_split(raw, "pit_stop", warehouse)
     stops = good.withColumns(
@@ -160,6 +162,7 @@ def content_id(rows: DataFrame, sample: str) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in [*content, told_apart]]), 256)
 
 
+@cleans_up
 def load_telemetry(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     good = decode_and_split(raw, "telemetry", warehouse)
     numbered = F.col("sample_no").cast("string")
@@ -175,6 +178,7 @@ def load_telemetry(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
     return seasons_of(samples)
 
 
+@cleans_up
 def load_weather(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     """Weather samples have no key of their own: the hash of their content is one, so a replay adds nothing."""
     good = decode_and_split(raw, "weather", warehouse)
@@ -214,6 +218,7 @@ def load_stream(
     each_batch(raw, checkpoint, handle)
 
 
+@cleans_up
 def export_table(spark: SparkSession, warehouse: str, table: str, link: dict) -> None:
     """Append to a relational table the rows whose natural key it does not have yet."""
     rows = read_table(spark, f"{warehouse}/{table}", table_schema(table))
@@ -227,22 +232,29 @@ def seasons_of(rows: DataFrame) -> list[int]:
     return sorted(r[0] for r in rows.select("year").distinct().collect() if r[0] is not None)
 
 
+@cleans_up
 def refresh_marts(spark: SparkSession, warehouse: str, seasons: list[int] | None = None) -> None:
-    """Recompute the marts of the given seasons (all if None) and replace their partitions."""
+    """Recompute the marts of the given seasons (all if None) and replace their partitions.
+
+    Driver standings are stored without names: `serving.register_views` joins the dimension, so a
+    renamed driver shows in all seasons. `vw_season_team_rank` ranks every result among those of its season and team;
+    as a season's later results move earlier ones, it is a mart of the whole season and no fact column.
+    """
 
     def scan(table: str) -> DataFrame | None:
-        rows = read_table(spark, f"{warehouse}/{table}")
+        rows = read_table(spark, f"{warehouse}/{table}", table_schema(table))
         if rows is None or seasons is None:
             return rows
         return rows.filter(F.col("year").isin(seasons))
 
     results, stops = scan("fact_race_result"), scan("fact_pit_stop")
-    drivers = read_table(spark, f"{warehouse}/dim_driver")
-    if results is not None and drivers is not None:
-        by_driver = marts.driver_standings(results, drivers)
+    if results is not None:
+        by_driver = marts.ranked_drivers(results)
         write_partitioned(by_driver, f"{warehouse}/vw_driver_standings", ["year"], ["championship_rank", "driver_id"])
         by_team = marts.team_standings(results)
         write_partitioned(by_team, f"{warehouse}/vw_team_standings", ["year"], ["championship_rank", "team"])
+        entries = clean.team_rank(results.select("year", "round", "driver_id", "team", "points"))
+        write_partitioned(entries, f"{warehouse}/vw_season_team_rank", ["year"], ["team", "season_team_rank", "driver_id"])
     if stops is not None:
         strategy = marts.pit_strategy(stops)
         write_partitioned(strategy, f"{warehouse}/vw_pit_stop_strategy", ["year"], ["gp_name", "driver_id"])
@@ -278,7 +290,7 @@ def check_constraints(spark: SparkSession, warehouse: str) -> DataFrame:
     tyres = read_table(spark, f"{warehouse}/dim_tyre")
     report = None
     for table, keys in NATURAL_KEY.items():
-        rows = read_table(spark, f"{warehouse}/{table}")
+        rows = read_table(spark, f"{warehouse}/{table}", table_schema(table))
         if rows is None:
             continue
         references = {}

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.marts import compare_entities, compare_series, table_counts
+from starmart.operators.marts import compare_entities, compare_series, table_counts, with_names
+from starmart.schemas import TABLE_DDL, table_schema
 from starmart.sources.tables import read_table
 
 TABLES = [
     "dim_driver", "dim_circuit", "dim_team", "dim_tyre",
     "fact_race_result", "fact_pit_stop", "fact_weather", "fact_telemetry",
-    "vw_driver_standings", "vw_team_standings", "vw_pit_stop_strategy",
+    "vw_driver_standings", "vw_team_standings", "vw_pit_stop_strategy", "vw_season_team_rank",
 ]
 
 # --- fixed values: names of the counts that callers read ---
@@ -25,11 +26,17 @@ COUNTS = {
 
 
 def register_views(spark: SparkSession, warehouse: str) -> list[str]:
-    """Register every written table and mart of the warehouse as a temp view; returns the names found."""
+    """Register every written table and mart of the warehouse as a temp view; returns the names found.
+
+    Driver standings get their names here, from the dimension as it is now.
+    """
     found = []
     for name in TABLES:
-        df = read_table(spark, f"{warehouse}/{name}")
+        df = read_table(spark, f"{warehouse}/{name}", table_schema(name) if name in TABLE_DDL else None)
         if df is not None:
+            if name == "vw_driver_standings" and "dim_driver" in found:
+                measures = [c for c in df.columns if c not in ("year", "driver_id", "driver_name")]
+                df = with_names(df.select("year", "driver_id", *measures), spark.table("dim_driver"))
             df.createOrReplaceTempView(name)
             found.append(name)
     return found

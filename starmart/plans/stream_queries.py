@@ -17,6 +17,13 @@ def _stream(spark, sf_dir, name):
     return streams.stream_files(spark, sf_dir, table(spark, sf_dir, name).schema, names=f"{name}.parquet")
 
 
+def _in_files(spark, rows, files=3):
+    """``rows`` as a stream of so many files, one a micro-batch."""
+    path = new_folder(spark, "stream_files")
+    rows.repartition(files).write.parquet(path)
+    return streams.stream_files(spark, path, rows.schema, max_files=1)
+
+
 @query(
     """SELECT o_orderkey AS round, CAST(o_custkey AS VARCHAR) AS driver_id, CAST(o_orderkey % 20 AS BIGINT) AS position,
               o_totalprice AS points, o_orderkey % 20 = 1 AS is_winner, o_orderkey % 20 <= 10 AS is_points_finish,
@@ -58,7 +65,7 @@ def stream_dedup(spark, sf_dir):
 @query(UPSERT_SQL)
 def stream_upsert(spark, sf_dir):
     # each open order arrives as it was, and again with a later change
-    orders = _stream(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
         F.year("o_orderdate").alias("year"),
@@ -67,7 +74,7 @@ def stream_upsert(spark, sf_dir):
         ),
         "o_totalprice",
     )
-    orders = orders.withColumn("o_totalprice", F.col("o_totalprice") + F.col("version"))
+    orders = _in_files(spark, orders.withColumn("o_totalprice", F.col("o_totalprice") + F.col("version")))
     path = new_folder(spark, "stream_upsert")
     streams.upsert_stream(
         orders, path, new_folder(spark, "stream_upsert_progress"), ["o_orderkey"], ["version"], ["year"], ["o_orderkey"]
@@ -85,11 +92,12 @@ def stream_upsert(spark, sf_dir):
     FROM t"""
 )
 def stream_standings(spark, sf_dir):
-    orders = _stream(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select(
         F.year("o_orderdate").alias("year"),
         F.col("o_custkey").alias("driver_id"),
         hundredths("o_totalprice").alias("points"),
     )
+    orders = _in_files(spark, orders)
     path = new_folder(spark, "stream_standings")
     streams.totals_stream(
         orders,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.operators.facts import upsert
-from starmart.sources.staging import stage
+from starmart.sources.staging import cleans_up, stage
 
 
 # up to this many touched partitions are listed in a filter; beyond it they are joined
@@ -100,6 +100,7 @@ def _equal(columns: list[str], values) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values)])
 
 
+@cleans_up
 def upsert_table(
     spark: SparkSession,
     path: str,

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import as_bytes
+from starmart.llm.common import BLOCK_BYTES, as_bytes
 
 CAPACITY = 8192
 PIECES = 1 << 13  # pieces packed at once; bounds a worker's memory and the search
+CARRIED = 32 << 20  # bytes in bins that stay open for the next pieces, and PIECES bins at most
 
 
 def cluster_of(raw: bytes) -> bytes:
@@ -44,6 +45,17 @@ class Bins:
         self.sources = np.zeros((sources // 64 + 1, most), np.uint64)
         self.clusters = np.zeros((clusters // 64 + 1, most), np.uint64)
 
+    def reopen(self, begun: list[tuple[int, list[int], list[int]]]) -> None:
+        """The first bins: (free space, sources, clusters) each."""
+        self.members = [[] for _ in begun]
+        for number, (_, sources, clusters) in enumerate(begun):
+            for bits, held in ((self.sources, sources), (self.clusters, clusters)):
+                for x in held:
+                    bits[x // 64, number] |= np.uint64(1 << x % 64)
+        free = np.array([x[0] for x in begun], np.int64)
+        self.number = np.argsort(free, kind="stable")
+        self.free = free[self.number]
+
     def place(self, piece: int, need: int, source: int, cluster: int | None) -> None:
         """Into the tightest bin that fits and conflicts with neither; ``cluster`` is None for a text that is alone."""
         word, bit = self.sources[source // 64], np.uint64(1 << source % 64)
@@ -70,52 +82,106 @@ class Bins:
             self.free, self.number = np.insert(self.free, at, left), np.insert(self.number, at, number)
 
 
-def pack(needs: list[int], sources: list, clusters: list, capacity: int) -> list[list[int]]:
-    """Bins of piece numbers, filled best-fit, longest piece first."""
+def pack(needs: list[int], sources: list, clusters: list, capacity: int, begun: list[tuple[int, list, list]] | None = None) -> list[list[int]]:
+    """Bins of piece numbers, filled best-fit, longest piece first.
+
+    ``begun``: bins (bytes taken, sources, clusters) that are open already; they come first, with the pieces added to them.
+    """
+    begun = begun or []
     source_of = {x: i for i, x in enumerate(dict.fromkeys(sources))}
     copies: dict = {}
     for x in clusters:
         copies[x] = copies.get(x, 0) + 1
+    for _, _, held in begun:
+        for x in held:
+            if x in copies:
+                copies[x] += 1
     cluster_of_ = {x: i for i, x in enumerate(k for k, n in copies.items() if n > 1)}
-    bins = Bins(capacity, len(needs), len(source_of), len(cluster_of_))
+    bins = Bins(capacity, len(needs) + len(begun), len(source_of), len(cluster_of_))
+    bins.reopen([(capacity - n, [source_of[x] for x in own if x in source_of], [cluster_of_[x] for x in held if x in cluster_of_]) for n, own, held in begun])
     for piece in sorted(range(len(needs)), key=lambda i: -needs[i]):
         bins.place(piece, needs[piece], source_of[sources[piece]], cluster_of_.get(clusters[piece]))
     return bins.members
 
 
+def still_open(bins: list[list[tuple]], capacity: int, most_bytes: int = CARRIED, most: int = PIECES) -> tuple[list[list[tuple]], list[list[tuple]]]:
+    """Bins to go on with and bins to close: the full ones, and the fullest of the others beyond the bounds."""
+    bins = sorted(bins, key=taken)
+    kept = n_bytes = 0
+    while kept < min(len(bins), most) and taken(bins[kept]) < capacity and n_bytes + taken(bins[kept]) <= most_bytes:
+        n_bytes += taken(bins[kept])
+        kept += 1
+    return bins[:kept], bins[kept:]
+
+
+def taken(group: list[tuple]) -> int:
+    return sum(len(p[2]) + 1 for p in group)
+
+
 COLUMNS = ["bin", "doc_ids", "piece_starts", "texts", "n_bytes"]
+PIECE = ["doc_id", "piece_start", "text", "source", "cluster"]
+
+
+def _cut_pass(capacity: int):
+    def run(batches):
+        for batch in batches:
+            kind = batch.schema.field(0).type
+
+            def made(rows, kind=kind):
+                doc, start, text, source, cluster = zip(*rows, strict=True)
+                kinds = [kind, pa.int32(), pa.binary(), pa.string(), pa.binary()]
+                own = [pa.array(c, k) for c, k in zip((doc, start, text, source, cluster), kinds, strict=True)]
+                return pa.RecordBatch.from_arrays([*own[:2], own[2].cast(pa.string()), *own[3:]], PIECE)
+
+            rows, n_bytes = [], 0
+            columns = batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for doc, raw, source, cluster in zip(*columns, strict=True):
+                own = b"\0" + cluster_of(raw) if cluster is None else b"\1" + cluster.encode()
+                for start, piece in cut(raw, capacity - 1):
+                    rows.append((doc, start, piece, source, own))
+                    n_bytes += len(piece) + 64
+                    if n_bytes >= BLOCK_BYTES:
+                        yield made(rows)
+                        rows, n_bytes = [], 0
+            if rows:
+                yield made(rows)
+
+    return run
 
 
 def _pack_pass(capacity: int):
     def run(batches):
         task, numbers = TaskContext.get().partitionId(), itertools.count()
 
-        def packed(pieces, id_type):
-            rows = [[pieces[i] for i in group] for group in pack([len(p[2]) + 1 for p in pieces], [p[3] for p in pieces], [p[4] for p in pieces], capacity)]
-            for s in range(0, len(rows), 1024):
-                part = rows[s : s + 1024]
+        def closed(bins, id_type):
+            for s in range(0, len(bins), 1024):
+                part = bins[s : s + 1024]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([(task << 32) + next(numbers) for _ in part], pa.int64()),
                         pa.array([[p[0] for p in r] for r in part], pa.list_(id_type)),
                         pa.array([[p[1] for p in r] for r in part], pa.list_(pa.int32())),
                         pa.array([[p[2] for p in r] for r in part], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                        pa.array([sum(len(p[2]) + 1 for p in r) for r in part], pa.int32()),
+                        pa.array([taken(r) for r in part], pa.int32()),
                     ],
                     COLUMNS,
                 )
 
-        pieces, id_type = [], pa.int64()
+        def filled(bins, pieces):
+            begun = [(taken(r), [p[3] for p in r], [p[4] for p in r]) for r in bins]
+            groups = pack([len(p[2]) + 1 for p in pieces], [p[3] for p in pieces], [p[4] for p in pieces], capacity, begun)
+            return [[*r, *(pieces[i] for i in group)] for r, group in itertools.zip_longest(bins, groups, fillvalue=())]
+
+        bins, pieces, id_type = [], [], pa.int64()
         for batch in batches:
             id_type = batch.schema.field(0).type
-            columns = batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for doc, raw, source, cluster in zip(*columns, strict=True):
-                cluster = cluster_of(raw) if cluster is None else cluster
-                pieces += [(doc, s, piece, source, cluster) for s, piece in cut(raw, capacity - 1)]
-                while len(pieces) >= PIECES:
-                    yield from packed(pieces[:PIECES], id_type)
-                    pieces = pieces[PIECES:]
-        yield from packed(pieces, id_type)
+            columns = [as_bytes(c) if name == "text" else c.to_pylist() for name, c in zip(PIECE, batch.columns, strict=True)]
+            pieces += zip(*columns, strict=True)
+            while len(pieces) >= PIECES:
+                bins, done = still_open(filled(bins, pieces[:PIECES]), capacity)
+                pieces = pieces[PIECES:]
+                yield from closed(done, id_type)
+        yield from closed(filled(bins, pieces), id_type)
 
     return run
 
@@ -126,11 +192,21 @@ def best_fit_bins(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None
     No bin holds two pieces of one source, nor of one duplicate cluster (column ``cluster``; where that is not given or
     null, texts equal but for case and white space are one). A text too long for a bin is cut between characters; its
     pieces by piece_starts give it back whole. A null source is a source; null and empty texts are empty pieces.
-    Every task packs the documents it reads, some thousand pieces at once, so nothing is shuffled, a source that holds
-    a third of all rows is spread like any other, and each such part leaves a few bins partly empty.
+    Pieces are dealt out by a hash before they are packed, in that order, so every task has its share of each source and
+    long text however the input is sorted. A task packs some thousand pieces at once and goes on with the bins that are
+    open, up to 32 MB of text (beyond that the fullest are closed); the last ones of each task are left partly empty.
     """
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     chosen = F.col(cluster).cast("string") if cluster else F.lit(None).cast("string")
-    kinds = [T.LongType(), T.ArrayType(docs.schema["doc_id"].dataType), T.ArrayType(T.IntegerType()), T.ArrayType(T.StringType()), T.IntegerType()]
+    id_type = docs.schema["doc_id"].dataType
+    cut_kinds = [id_type, T.IntegerType(), T.StringType(), T.StringType(), T.BinaryType()]
+    pieces = docs.select("doc_id", "text", source.alias("source"), chosen.alias("cluster")).mapInArrow(
+        _cut_pass(capacity), T.StructType([T.StructField(n, k) for n, k in zip(PIECE, cut_kinds, strict=True)])
+    )
+    # the task that read a row is part of the hash: rows of one doc_id, however many, don't meet in one task
+    mixed = pieces.withColumn("_mix", F.xxhash64("doc_id", "piece_start", F.spark_partition_id())).repartition("_mix")
+    # in a fixed order, so that a task that runs again makes the same bins
+    mixed = mixed.sortWithinPartitions("_mix", "text", "source", "cluster").select(*PIECE)
+    kinds = [T.LongType(), T.ArrayType(id_type), T.ArrayType(T.IntegerType()), T.ArrayType(T.StringType()), T.IntegerType()]
     schema = T.StructType([T.StructField(n, k) for n, k in zip(COLUMNS, kinds, strict=True)])
-    return docs.select("doc_id", "text", source.alias("source"), chosen.alias("cluster")).mapInArrow(_pack_pass(capacity), schema)
+    return mixed.mapInArrow(_pack_pass(capacity), schema)

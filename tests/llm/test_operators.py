@@ -366,6 +366,35 @@ def test_tightest_compatible_bin_is_found():
     assert abs(len(got) - len(members)) <= 3
 
 
+def test_sorted_sources_fill_bins_like_mixed_ones(spark):
+    # whole partitions of one source, each more than is packed at once
+    text = F.concat(F.lit("x" * 24), F.lpad(F.col("id").cast("string"), 6, "0"))
+    docs = spark.range(0, 30_000, 1, 3).select(F.col("id").alias("doc_id"), text.alias("text"), F.floor(F.col("id") / 10_000).alias("source"))
+    rows = best_fit.best_fit_bins(docs, 93).collect()
+    assert all(len({d // 10_000 for d in r.doc_ids}) == len(r.doc_ids) for r in rows)
+    assert sorted(d for r in rows for d in r.doc_ids) == list(range(30_000))
+    assert len(rows) < 1.1 * 10_000
+
+
+def test_bins_stay_open_within_bounds():
+    chance = random.Random(12)
+    bins, closed, placed = [], [], 0
+    for _ in range(6):
+        pieces = [(placed + i, 0, b"x" * chance.randrange(5, 60), str(chance.randrange(9)), bytes([chance.randrange(40)])) for i in range(100)]
+        placed += 100
+        begun = [(best_fit.taken(b), [p[3] for p in b], [p[4] for p in b]) for b in bins]
+        groups = best_fit.pack([len(p[2]) + 1 for p in pieces], [p[3] for p in pieces], [p[4] for p in pieces], 100, begun)
+        assert len(groups) >= len(bins) and any(groups[: len(bins)]) == bool(bins)
+        bins = [*bins, *([] for _ in groups[len(bins) :])]
+        bins, done = best_fit.still_open([[*b, *(pieces[i] for i in g)] for b, g in zip(bins, groups, strict=True)], 100, most_bytes=1500)
+        assert sum(map(best_fit.taken, bins)) <= 1500 and max(map(best_fit.taken, bins), default=0) <= min(map(best_fit.taken, done), default=100)
+        closed += done
+    closed += bins
+    assert sorted(p[0] for b in closed for p in b) == list(range(placed))
+    for b in closed:
+        assert best_fit.taken(b) <= 100 and len({p[3] for p in b}) == len({p[4] for p in b}) == len(b)
+
+
 # ---- URLs and licenses
 
 

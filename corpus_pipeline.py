@@ -38,7 +38,8 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bins of bounded size, without two texts of one source or cluster in a bin."""
+    """Bins of bounded size, without two texts of one source in a bin. Of each group of near duplicates `dedup_documents`
+    has left one document, so every group is that document alone and none needs to be kept apart."""
     ready(spark)
     return best_fit.best_fit_bins(docs)
 

@@ -75,7 +75,8 @@ def op3_token_output(spark, sf_dir):
 
 @query()
 def op4_best_fit_packing(spark, sf_dir):
-    return best_fit.best_fit_bins(table(spark, sf_dir, "documents"))
+    docs = simhash.with_components(table(spark, sf_dir, "documents"), "cluster")
+    return best_fit.best_fit_bins(docs, cluster="cluster")
 
 
 @query(

@@ -234,8 +234,28 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, largest_bucket: i
 
 def _grouped(docs: DataFrame, distance: int, largest_bucket: int) -> tuple[DataFrame, DataFrame]:
     marked = stage_table(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint"), "fingerprints")
-    prints = stage_table(marked.groupBy(F.col("fingerprint").alias("print")).agg(F.min("doc_id").alias("first")), "prints")
-    return marked, classes(prints, distance, largest_bucket)
+    return marked, classes(_prints(marked), distance, largest_bucket)
+
+
+def _prints(marked: DataFrame) -> DataFrame:
+    return stage_table(marked.groupBy(F.col("fingerprint").alias("print")).agg(F.min("doc_id").alias("first")), "prints")
+
+
+def with_components(docs: DataFrame, column: str = "component", distance: int = DISTANCE, largest_bucket: int = LARGEST_BUCKET) -> DataFrame:
+    """Document rows with ``column``, a bigint that the rows of one group of near duplicates share and no others.
+
+    It is the fingerprint of the group's kept document, so it is never null. Each row is judged by its own text, also
+    where rows share a doc_id or have none. Fingerprints are made once and come back to the texts by doc_id and text hash.
+    """
+    marked = with_fingerprints(docs.select("doc_id", "text")).select("doc_id", F.xxhash64("text").alias("text_key"), "fingerprint")
+    marked = stage_table(marked, "fingerprints")
+    found = classes(_prints(marked), distance, largest_bucket)
+    known = (
+        marked.join(found, F.col("fingerprint") == F.col("print"))
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(F.min("kept_print").alias("_group"))
+    )
+    rows = docs.join(known, (F.xxhash64("text") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    return rows.select(*(c for c in docs.columns if c != column), F.col("_group").alias(column))
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = DISTANCE, largest_bucket: int = LARGEST_BUCKET) -> DataFrame:

@@ -376,6 +376,22 @@ def test_sorted_sources_fill_bins_like_mixed_ones(spark):
     assert len(rows) < 1.1 * 10_000
 
 
+def test_near_copies_share_no_bin(spark, tmp_path):
+    chance = random.Random(21)
+    text = " ".join("".join(chance.choices("abcdefgh", k=6)) for _ in range(300))
+    copies = [text, text + " end", "begin " + text]
+    assert all((brute_print(a) ^ brute_print(b)).bit_count() <= 4 for a in copies for b in copies)
+    other = " ".join("".join(chance.choices("stuvwxyz", k=6)) for _ in range(300))
+    assert (brute_print(other) ^ brute_print(text)).bit_count() > 8
+    rows = [(1, copies[0], "a"), (2, copies[1], "b"), (None, copies[2], "c"), (3, other, "d"), (3, other, "e"), (4, None, "f"), (3, copies[0], "g")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    bins = QUERIES["op4_best_fit_packing"](spark, str(tmp_path)).collect()
+    assert sorted((x for r in bins for x in zip(r.doc_ids, r.texts, strict=True)), key=repr) == sorted(((d, t or "") for d, t, _ in rows), key=repr)
+    for r in bins:
+        assert sum(t in copies for t in r.texts) <= 1 and r.texts.count(other) <= 1
+    assert len(bins) < len(rows)
+
+
 def test_bins_stay_open_within_bounds():
     chance = random.Random(12)
     bins, closed, placed = [], [], 0

@@ -133,6 +133,12 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = WOR
     return stretch_hashes(prefix_sums(low), starts, ends), bounds
 
 
+def one_row_each(rows: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of one row per doc_id, the one with the least hash of its text; repeats go before the shuffle."""
+    first = F.min(F.struct(F.xxhash64("text").alias("_hash"), "text", *(c for c in columns if c not in ("doc_id", "text"))))
+    return rows.groupBy("doc_id").agg(first.alias("_first")).select(*(c if c == "doc_id" else F.col(f"_first.{c}").alias(c) for c in columns))
+
+
 def field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import SPACED_BYTES, blocks, prefix_sums, stretch_hashes, utf8, with_fields, words
+from starmart.llm.common import SPACED_BYTES, blocks, one_row_each, prefix_sums, stretch_hashes, utf8, with_fields, words
 
 BUCKETS = 1 << 18  # hashed words
 BINS = 16  # steps of each shape figure
@@ -153,10 +153,11 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, grades: DataFrame, top: int = 2, sample: int = SAMPLE) -> OrdinalModel:
-    """A model from at most ``sample`` graded documents, those whose hashed doc_id comes first."""
+    """A model from at most ``sample`` graded documents, those whose hashed doc_id comes first; rows that share one count once."""
     chosen = grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # at most `sample` ids and grades are broadcast, and as many documents' features collected
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade").mapInArrow(_feature_pass, "grade int, features binary").collect()
+    # at most `sample` ids and grades are broadcast, and as many documents' features collected, one row for each id
+    known = one_row_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "text", "grade")
+    rows = known.mapInArrow(_feature_pass, "grade int, features binary").collect()
     rows.sort(key=lambda r: (r.features, r.grade))  # whatever order tasks end in
     own = [np.frombuffer(r.features, "<i4") for r in rows]
     heads = np.r_[0, np.cumsum([len(x) for x in own])].astype(np.int64)

@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.common import one_row_each
+
 SPACE = r"[ \t\n\x0B\f\r]+"
 WINDOW = 5
 SAMPLE = 20_000
@@ -155,13 +157,14 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **settings) -> list[Rule]:
     """Rules for poor quality (label quality = 0) from at most ``sample`` labelled documents, those whose hashed doc_id comes first.
 
-    Rows that share a doc_id count with their worst label; rows with a null id or label are left out. Documents that the
+    Labels that share a doc_id count with the worst, documents that share one count once; rows with a null id or label are left out. Documents that the
     base rule drops anyway are not learned from. Without labelled rows there are no rules.
     """
     marked = labels.dropna(subset=["doc_id", "quality"]).groupBy("doc_id").agg(F.min("quality").alias("_quality"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # at most `sample` ids are broadcast, and as many rows of numbers collected
-    known = statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["_quality"]).filter(~base_failed())
+    # at most `sample` ids are broadcast, and as many rows of numbers collected, one for each id
+    texts = one_row_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "text", "_quality")
+    known = statistics(texts, ["_quality"]).filter(~base_failed())
     rows = sorted(tuple(r) for r in known.select((F.col("_quality") == 0).alias("bad"), *(c.alias(k) for k, c in feature_columns().items())).collect())
     if not rows:
         return []

@@ -241,7 +241,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents without any benchmark window. Where rows share a doc_id, one contaminated row takes all of them along;
-    rows without doc_id stay."""
-    bad = contamination(docs, benchmark, window).filter("n_hit > 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without any benchmark window. Rows that share a doc_id are judged each by its own text; rows without
+    doc_id stay."""
+    rows = docs.filter("doc_id IS NOT NULL").select(F.struct("doc_id", F.xxhash64("text").alias("text_key")).alias("doc_id"), "text")
+    bad = contamination(rows, benchmark, window).filter("n_hit > 0").select(F.col("doc_id.doc_id").alias("_doc"), F.col("doc_id.text_key").alias("_key")).distinct()
+    return docs.join(bad, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left_anti").select(*docs.columns)

@@ -219,11 +219,14 @@ def load_stream(
 
 
 @cleans_up
-def export_table(spark: SparkSession, warehouse: str, table: str, link: dict) -> None:
-    """Append to a relational table the rows whose natural key it does not have yet."""
+def export_table(spark: SparkSession, warehouse: str, table: str, link: dict, **split) -> None:
+    """Append to a relational table the rows whose natural key it does not have yet.
+
+    Its keys are read over one connection, or with ``split`` (split_on, bounds, partitions of `read_relation`) over several.
+    """
     rows = read_table(spark, f"{warehouse}/{table}", table_schema(table))
     keys = NATURAL_KEY[table]
-    known = read_relation(spark, link, table).select(*[F.col(c).cast(rows.schema[c].dataType) for c in keys])
+    known = read_relation(spark, link, table, **split).select(*[F.col(c).cast(rows.schema[c].dataType) for c in keys])
     append_relation(stage(rows.join(known, keys, "left_anti"), "export"), link, table)
 
 

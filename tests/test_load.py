@@ -231,6 +231,16 @@ def test_export_appends_only_new_keys(spark, warehouse, monkeypatch):
     assert sent == [("fact_race_result", [(2023,)])]
 
 
+def test_export_reads_keys_in_ranges(spark, warehouse, monkeypatch):
+    asked = []
+    known = spark.read.parquet(f"{warehouse}/fact_race_result")
+    monkeypatch.setattr(load, "read_relation", lambda spark, link, table, **split: asked.append(split) or known)
+    monkeypatch.setattr(load, "append_relation", lambda df, link, table: None)
+    split = {"split_on": "year", "bounds": (1950, 2030), "partitions": 16}
+    load.export_table(spark, warehouse, "fact_race_result", {"url": "jdbc:x"}, **split)
+    assert asked == [split]
+
+
 def test_command_line(spark, warehouse, capsys, tmp_path):
     from starmart import __main__ as cli
 

@@ -8,8 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import best_fit, decontaminate, license_scan, line_dedup, quality_model, quality_rules, simhash, suffix_dedup, token_packing, url_rules
-from starmart.llm.common import hex_of, ready, table
+from starmart.llm import (
+    best_fit, chat_format, decontaminate, license_scan, line_dedup, periodic_runs, quality_model, quality_rules, simhash, suffix_dedup,
+    token_alignment, token_packing, url_rules,
+)
+from starmart.llm.common import hex_of, ready, stage_table, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -159,3 +162,75 @@ def op9_quality_rules(spark, sf_dir):
 def op10_simhash_dedup(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_of(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, every tenth document (by the checksum of its id) going on with a period from some word on."""
+    words = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h")).withColumns(
+        {"g": F.floor(F.col("h") / 10), "w": F.when(F.col("h") % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))}
+    )
+    words = words.withColumns({"n": F.size("w"), "a": F.when(F.size("w") > 0, F.col("g") % F.size("w")).cast("int")})
+    words = words.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    left = F.col("n") - F.col("a")
+    block = F.slice("w", F.col("a") + 1, F.col("p"))
+    again = F.slice(F.flatten(F.array_repeat(block, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    planted = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), again)
+    return words.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # runs come by start, then period, so only a greater exponent takes the place of an earlier one
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_token_alignment(spark, sf_dir):
+    aligned = stage_table(token_alignment.align(table(spark, sf_dir, "documents")), "aligned")
+    counts = stage_table(token_alignment.link_counts(aligned, token_alignment.piece_ids()), "link_counts")
+    n_links = F.size("links").cast("bigint")
+    return token_alignment.with_counts(aligned, counts).select(
+        "doc_id", "n_a", "n_b", n_links.alias("n_groups"), n_links.alias("n_links"), "n_best", "count_sum",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+
+
+# fixed value: what both turns of the added conversation say
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query(
+    r"""
+    WITH said AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '{control}' UNION ALL SELECT -7, 1, 'assistant', '{control}'),
+    sized AS (
+      SELECT *, length(text) + (length(text) - length(replace(text, chr(92), ''))) + (length(text) - length(replace(text, '### ', ''))) // 4
+             + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS body FROM said)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(length('### ' || role || ': ' || '</turn>' || chr(10)) + body)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """.replace("{control}", CONTROL_TEXT)
+)
+def op13_chat_formatting(spark, sf_dir):
+    added = [{"role": r, "content": CONTROL_TEXT} for r in ("user", "assistant")]
+    added = spark.createDataFrame([(-7, added)], "conv_id bigint, messages array<struct<role:string,content:string>>")
+    turns = chat_format.canonical(table(spark, sf_dir, "conversations")).unionByName(chat_format.canonical(added))
+    read = chat_format.read_back(chat_format.format_turns(turns))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss", "")
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )

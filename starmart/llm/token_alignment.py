@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import re
 from typing import NamedTuple
 
@@ -23,15 +24,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.common import blocks, field_type, stage_table
+from starmart.llm.token_packing import PATTERN
 
 BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 16  # bytes of text in a fragment
 FAN_IN = 8  # fragments joined by one call
-KEPT_WORDS, KEPT_LENGTH = 1 << 17, 64  # words a worker remembers, and their longest
+KEPT_WORDS, KEPT_LENGTH = 1 << 16, 64  # words in each generation a worker remembers, and their longest
+ENCODED = 1 << 10  # words encoded at once
+BLOCK_BYTES = 1 << 19  # text looked up at once
 BROADCAST_PAIRS = 2_000_000  # distinct id pairs that are broadcast, 13 bytes each; more are joined by a shuffle
 WORD_BREAK = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
+#: words of which every regular expression engine thinks alike: ASCII and Latin letters
+PLAIN = re.compile("[!-~À-ɏ]{1,64}")
 
 
 class Fragment(NamedTuple):
@@ -71,11 +77,11 @@ def groups_of(whole: Fragment) -> str:
 
 
 class Word(NamedTuple):
-    """The ids of space + text on both sides; if sound, its groups and linked pairs."""
+    """How many ids space + text has on either side; if sound, its groups and linked pairs."""
 
     sound: bool
-    a: list[int]
-    b: list[int]
+    n_a: int
+    n_b: int
     groups: str
     links: tuple[int, ...]
 
@@ -95,6 +101,7 @@ class Tokenizers:
         for token, i in self.a.get_vocab().items():
             known = all(c in letters for c in token)
             self.a_bytes[i] = bytes(letters[c] for c in token) if known else token.encode()
+        self.plain = _plain_words(self.a, self.a_bytes, letters)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = ([len(x) for x in side] for side in (self.a_bytes, self.b_bytes))
@@ -103,20 +110,25 @@ class Tokenizers:
         self.words: dict[str, Word] = {}
         self.older: dict[str, Word] = {}
 
+    def encoded(self, texts: list[str]):
+        """(sound, ids of a, ids of b) of each text, encoded some at a time."""
+        for start in range(0, len(texts), ENCODED):
+            some = texts[start : start + ENCODED]
+            plain = [bool(self.plain and PLAIN.fullmatch(t)) for t in some]
+            others = iter(self.a.encode_batch([f" {t}" for t, p in zip(some, plain, strict=True) if not p], add_special_tokens=False))
+            side_a = [self.plain(f" {t}") if p else next(others).ids for t, p in zip(some, plain, strict=True)]
+            for text, a, b in zip(some, side_a, self.b.encode(some, num_threads=1), strict=True):
+                own = f" {text}".encode()
+                yield b"".join([self.a_bytes[i] for i in a]) == own == b"".join([self.b_bytes[i] for i in b]), a, b
+
     def aligned(self, texts: list[str]) -> list[Word]:
-        """Words encoded together."""
         found, pieces = [], len(self.b_bytes)
-        side_a = self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False) if texts else []
-        for text, a, b in zip(texts, (e.ids for e in side_a), self.b.encode(texts, num_threads=1) if texts else [], strict=True):
-            own = f" {text}".encode()
-            if not b"".join([self.a_bytes[i] for i in a]) == own == b"".join([self.b_bytes[i] for i in b]):
-                found.append(Word(False, a, b, "", ()))
-                continue
+        for sound, a, b in self.encoded(texts):
             groups, links = [], []
-            for p, i, q, j in self.ends(a, b):
+            for p, i, q, j in self.ends(a, b) if sound else ():
                 groups.append(f"{a[p]}|{b[q]}" if i - p == j - q == 1 else group_text(a[p:i], b[q:j]))
                 links.append(a[i - 1] * pieces + b[j - 1])
-            found.append(Word(True, a, b, ";".join(groups), tuple(links)))
+            found.append(Word(sound, len(a), len(b), ";".join(groups), tuple(links)))
         return found
 
     def ends(self, a: list[int], b: list[int]):
@@ -136,11 +148,11 @@ class Tokenizers:
 
     def look_up(self, texts: list[str]) -> list[Word]:
         """Each word's ids and groups; words not yet known are encoded together. Two generations of words are kept."""
-        new = [t for t in dict.fromkeys(texts) if t not in self.words]
+        new = dict.fromkeys(t for t in texts if t not in self.words)
         known = {t: self.older[t] for t in new if t in self.older}
         unknown = [t for t in new if t not in known]
         known |= zip(unknown, self.aligned(unknown), strict=True)
-        found = [self.words.get(t) or known[t] for t in texts]
+        found = [known[t] if t in known else self.words[t] for t in texts]
         self.words.update((t, w) for t, w in known.items() if len(t) <= KEPT_LENGTH)
         if len(self.words) > KEPT_WORDS:
             self.words, self.older = {}, self.words
@@ -150,6 +162,21 @@ class Tokenizers:
         return WORD_BREAK.split(text) if self.by_words else [text]
 
 
+def _plain_words(tokenizer, names: list[bytes], letters: dict[str, int]):
+    """An encoder of the same vocabulary that is faster on single words, if its merges come in order of their ids, else None."""
+    import tiktoken
+
+    model = json.loads(tokenizer.to_str())
+    special = {t["id"] for t in model["added_tokens"]}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
+    merged = [model["model"]["vocab"].get(x + y, -1) for x, y in pairs]
+    byte_ids = sorted(model["model"]["vocab"][c] for c in letters)
+    if model["pre_tokenizer"] is None or model["pre_tokenizer"]["type"] != "ByteLevel" or merged != sorted(set(merged)) or merged[0] <= byte_ids[-1]:
+        return None
+    ranks = {name: i for i, name in enumerate(names) if i not in special}
+    return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -169,17 +196,13 @@ def _whole_texts(byte_file: str, piece_file: str):
     def run(batches):
         both = tokenizers(byte_file, piece_file)
         for whole in batches:
-            for batch in blocks(whole, "text"):
+            for batch in blocks(whole, "text", BLOCK_BYTES):
                 texts = [both.breaks(t) if t else [] for t in batch.column("text").to_pylist()]
                 found = iter(both.look_up(list(itertools.chain.from_iterable(texts))))
                 rows = []
                 for words in texts:
-                    parts = list(itertools.islice(found, len(words)))
-                    if all(p.sound for p in parts):
-                        counts = sum(len(p.a) for p in parts), sum(len(p.b) for p in parts)
-                        rows.append((*counts, ";".join([p.groups for p in parts]), [x for p in parts for x in p.links]))
-                    else:
-                        rows.append((0, 0, "", []))
+                    sound, n_a, n_b, groups, links = zip(*itertools.islice(found, len(words)), strict=True) if words else ((False,), *[()] * 4)
+                    rows.append((sum(n_a), sum(n_b), ";".join(groups), list(itertools.chain.from_iterable(links))) if all(sound) else (0, 0, "", []))
                 yield _aligned_batch(batch.column("doc_id"), rows)
 
     return run
@@ -240,14 +263,15 @@ def _cut_texts(chunk: int, byte_file: str, piece_file: str):
     return run
 
 
-def part_of_word(both: Tokenizers, word: Word, start: int, end: int) -> tuple[Fragment, list[int]]:
-    """The fragment of a word's tokens that end behind byte ``start`` of it and not behind ``end``, and its linked pairs."""
-    ends_a, ends_b = (list(itertools.accumulate(sizes[i] for i in ids)) for ids, sizes in ((word.a, both.a_sizes), (word.b, both.b_sizes)))
+def part_of_word(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragment, list[int]]:
+    """The fragment of a sound word's tokens that end behind byte ``start`` of it and not behind ``end``, and its linked pairs."""
+    ((_, all_a, all_b),) = both.encoded([text])
+    ends_a, ends_b = (list(itertools.accumulate(sizes[i] for i in ids)) for ids, sizes in ((all_a, both.a_sizes), (all_b, both.b_sizes)))
     parts, links = [Fragment()], []
     both_end = set(ends_a) & set(ends_b)
     cuts = [start, *sorted(e for e in both_end if start < e <= end), end]
     for n, (low, high) in enumerate(itertools.pairwise(cuts)):
-        a, b = (tuple(i for i, e in zip(ids, ends, strict=True) if low < e <= high) for ids, ends in ((word.a, ends_a), (word.b, ends_b)))
+        a, b = (tuple(i for i, e in zip(ids, ends, strict=True) if low < e <= high) for ids, ends in ((all_a, ends_a), (all_b, ends_b)))
         closes = n < len(cuts) - 2
         parts.append(Fragment(True, len(a), len(b), closes, a, b))
         if closes:
@@ -265,7 +289,7 @@ def fragment(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragmen
     inside: list[Word] = []
 
     def whole_words() -> Fragment:
-        counts = sum(len(w.a) for w in inside), sum(len(w.b) for w in inside)
+        counts = sum(w.n_a for w in inside), sum(w.n_b for w in inside)
         return Fragment(True, *counts, True, closed=tuple(w.groups for w in inside)) if inside else Fragment()
 
     for piece, word in zip(breaks, words, strict=True):
@@ -274,7 +298,7 @@ def fragment(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragmen
             inside.append(word)
             links += word.links
         elif at + size > start and at < end:
-            own, pairs = part_of_word(both, word, max(0, start - at), min(size, end - at))
+            own, pairs = part_of_word(both, piece, max(0, start - at), min(size, end - at))
             made, inside = join(join(made, whole_words()), own), []
             links += pairs
         at += size

@@ -78,7 +78,16 @@ def test_words_have_the_ids_they_have_in_the_text():
         a, b, groups, _ = brute(text)
         assert all(w.sound for w in words) == bool(a)
         if a:
-            assert (a, b) == (sum((w.a for w in words), []), sum((w.b for w in words), [])) and groups == ";".join(w.groups for w in words)
+            assert (len(a), len(b)) == (sum(w.n_a for w in words), sum(w.n_b for w in words)) and groups == ";".join(w.groups for w in words)
+
+
+def test_plain_words_are_encoded_alike():
+    rng = random.Random(4)
+    letters = [chr(c) for c in [*range(33, 127), *range(0xC0, 0x250)]]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(20_000)] + ["don't", "'s", "we'LL", "x'", "<|endoftext|>", "1½"]
+    assert both().plain is not None and ta.PLAIN.fullmatch(words[0])
+    slow = [e.ids for e in both().a.encode_batch([f" {w}" for w in words], add_special_tokens=False)]
+    assert [both().plain(f" {w}") for w in words] == slow
 
 
 def test_joining_is_associative():

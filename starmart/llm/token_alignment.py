@@ -11,6 +11,7 @@ word, as a rule) has its own ids wherever it stands: words are encoded once and
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import json
 import re
@@ -104,47 +105,61 @@ class Tokenizers:
         self.plain = _plain_words(self.a, self.a_bytes, letters)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.a_sizes, self.b_sizes = ([len(x) for x in side] for side in (self.a_bytes, self.b_bytes))
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
+        sides = ((len(self.a_bytes), "|"), (len(self.b_bytes), ";"))
+        self.texts = pa.array([f"{i}{c}".encode() for n, end in sides for i in range(n) for c in (",", end)], pa.binary())
         # the space breaks of a text are breaks of both tokenizers only if no piece runs across one
         self.by_words = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces)
         self.words: dict[str, Word] = {}
         self.older: dict[str, Word] = {}
 
-    def encoded(self, texts: list[str]):
-        """(sound, ids of a, ids of b) of each text, encoded some at a time."""
-        for start in range(0, len(texts), ENCODED):
-            some = texts[start : start + ENCODED]
-            plain = [bool(self.plain and PLAIN.fullmatch(t)) for t in some]
-            others = iter(self.a.encode_batch([f" {t}" for t, p in zip(some, plain, strict=True) if not p], add_special_tokens=False))
-            side_a = [self.plain(f" {t}") if p else next(others).ids for t, p in zip(some, plain, strict=True)]
-            for text, a, b in zip(some, side_a, self.b.encode(some, num_threads=1), strict=True):
-                own = f" {text}".encode()
-                yield b"".join([self.a_bytes[i] for i in a]) == own == b"".join([self.b_bytes[i] for i in b]), a, b
+    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of space + each text on both sides."""
+        plain = [bool(self.plain and PLAIN.fullmatch(t)) for t in texts]
+        others = iter(self.a.encode_batch([f" {t}" for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        return [self.plain(f" {t}") if p else next(others).ids for t, p in zip(texts, plain, strict=True)], self.b.encode(texts, num_threads=1)
+
+    def sound(self, text: str, a: list[int], b: list[int]) -> bool:
+        own = f" {text}".encode()
+        return b"".join([self.a_bytes[i] for i in a]) == own == b"".join([self.b_bytes[i] for i in b])
 
     def aligned(self, texts: list[str]) -> list[Word]:
-        found, pieces = [], len(self.b_bytes)
-        for sound, a, b in self.encoded(texts):
-            groups, links = [], []
-            for p, i, q, j in self.ends(a, b) if sound else ():
-                groups.append(f"{a[p]}|{b[q]}" if i - p == j - q == 1 else group_text(a[p:i], b[q:j]))
-                links.append(a[i - 1] * pieces + b[j - 1])
-            found.append(Word(sound, len(a), len(b), ";".join(groups), tuple(links)))
+        """Words encoded and aligned some at a time."""
+        found: list[Word] = []
+        for start in range(0, len(texts), ENCODED):
+            some = texts[start : start + ENCODED]
+            a, b = self.ids(some)
+            fits = [self.sound(*x) for x in zip(some, a, b, strict=True)]
+            done = iter(self._aligned([x for x, f in zip(a, fits, strict=True) if f], [x for x, f in zip(b, fits, strict=True) if f]))
+            found += [next(done) if f else Word(False, 0, 0, "", ()) for f in fits]
         return found
 
-    def ends(self, a: list[int], b: list[int]):
-        """(from, to) of either side's tokens for each group."""
-        size_a, size_b = self.a_sizes, self.b_sizes
-        i = j = p = q = ahead = 0  # bytes that a is ahead of b
-        while i < len(a) or j < len(b):
-            if ahead <= 0:
-                ahead += size_a[a[i]]
-                i += 1
-            else:
-                ahead -= size_b[b[j]]
-                j += 1
-            if not ahead:
-                yield p, i, q, j
-                p, q = i, j
+    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[Word]:
+        """The same of sound words by their ids, laid end to end."""
+        if not a:
+            return []
+        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
+        ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, n_a), (b, n_b)))
+        ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
+        _, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        last_a[in_a] = last_b[in_b] = 1
+        # the ids' texts in order of group, then side: each with the separator that follows it
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        order = np.empty(len(ids_a) + len(ids_b), np.int64)
+        order[np.arange(len(ids_a)) + np.r_[0, in_b + 1][group_a]] = 2 * ids_a + last_a
+        order[np.arange(len(ids_b)) + (in_a + 1)[group_b]] = 2 * (len(self.a_bytes) + ids_b) + last_b
+        texts = self.texts.take(pa.array(order))
+        text = b"".join(texts.to_pylist()).decode()
+        sizes = np.r_[0, np.cumsum(np.asarray(pc.binary_length(texts)))]
+        text_cuts = sizes[np.cumsum(np.r_[0, n_a + n_b])].tolist()
+        link_cuts = np.searchsorted(in_a, np.r_[0, np.cumsum(n_a)]).tolist()
+        links = self.linked(ids_a[in_a], ids_b[in_b]).tolist()
+        pairs = zip(a, b, itertools.pairwise(text_cuts), itertools.pairwise(link_cuts), strict=True)
+        return [Word(True, len(x), len(y), text[s : e - 1], tuple(links[p:q])) for x, y, (s, e), (p, q) in pairs]
+
+    def linked(self, a, b):
+        return a * len(self.b_bytes) + b
 
     def look_up(self, texts: list[str]) -> list[Word]:
         """Each word's ids and groups; words not yet known are encoded together. Two generations of words are kept."""
@@ -195,15 +210,19 @@ def tokenizers(byte_file: str, piece_file: str) -> Tokenizers:
 def _whole_texts(byte_file: str, piece_file: str):
     def run(batches):
         both = tokenizers(byte_file, piece_file)
-        for whole in batches:
-            for batch in blocks(whole, "text", BLOCK_BYTES):
-                texts = [both.breaks(t) if t else [] for t in batch.column("text").to_pylist()]
-                found = iter(both.look_up(list(itertools.chain.from_iterable(texts))))
-                rows = []
-                for words in texts:
-                    sound, n_a, n_b, groups, links = zip(*itertools.islice(found, len(words)), strict=True) if words else ((False,), *[()] * 4)
-                    rows.append((sum(n_a), sum(n_b), ";".join(groups), list(itertools.chain.from_iterable(links))) if all(sound) else (0, 0, "", []))
-                yield _aligned_batch(batch.column("doc_id"), rows)
+        gc.disable()  # words and ids are many and never in cycles
+        try:
+            for whole in batches:
+                for batch in blocks(whole, "text", BLOCK_BYTES):
+                    texts = [both.breaks(t) if t else [] for t in batch.column("text").to_pylist()]
+                    found = iter(both.look_up(list(itertools.chain.from_iterable(texts))))
+                    rows = []
+                    for words in texts:
+                        sound, n_a, n_b, groups, links = zip(*itertools.islice(found, len(words)), strict=True) if words else ((False,), *[()] * 4)
+                        rows.append((sum(n_a), sum(n_b), ";".join(groups), list(itertools.chain.from_iterable(links))) if all(sound) else (0, 0, "", []))
+                    yield _aligned_batch(batch.column("doc_id"), rows)
+        finally:
+            gc.enable()
 
     return run
 
@@ -265,8 +284,8 @@ def _cut_texts(chunk: int, byte_file: str, piece_file: str):
 
 def part_of_word(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragment, list[int]]:
     """The fragment of a sound word's tokens that end behind byte ``start`` of it and not behind ``end``, and its linked pairs."""
-    ((_, all_a, all_b),) = both.encoded([text])
-    ends_a, ends_b = (list(itertools.accumulate(sizes[i] for i in ids)) for ids, sizes in ((all_a, both.a_sizes), (all_b, both.b_sizes)))
+    (all_a,), (all_b,) = both.ids([text])
+    ends_a, ends_b = (np.cumsum(sizes[ids]).tolist() for ids, sizes in ((all_a, both.a_sizes), (all_b, both.b_sizes)))
     parts, links = [Fragment()], []
     both_end = set(ends_a) & set(ends_b)
     cuts = [start, *sorted(e for e in both_end if start < e <= end), end]
@@ -275,7 +294,7 @@ def part_of_word(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fra
         closes = n < len(cuts) - 2
         parts.append(Fragment(True, len(a), len(b), closes, a, b))
         if closes:
-            links.append(a[-1] * len(both.b_bytes) + b[-1])
+            links.append(both.linked(a[-1], b[-1]))
     return functools.reduce(join, parts), links
 
 

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.plans import load, publish, serving
+from starmart.plans import load, mart_updates, publish, serving
 from starmart.schemas import TABLE_DDL
 from starmart.session import build_session
 from starmart.sources.relational import connection
@@ -78,9 +78,8 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
         raw = spark.read.parquet(args.files)
     else:
         raw = read_topic(spark, args.servers, args.topic, args.min_partitions)
-    seasons = load.LOADERS[args.event_type](spark, raw, args.warehouse)
-    if seasons:
-        load.refresh_marts(spark, args.warehouse, seasons)
+    load.LOADERS[args.event_type](spark, raw, args.warehouse)
+    mart_updates.update_marts(spark, args.warehouse)
 
 
 def display(rows: DataFrame, most: int | None = None) -> None:

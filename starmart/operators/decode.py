@@ -13,6 +13,16 @@ MISFIT = "_misfit"
 REASON = "_reason"
 
 
+def _ends_with_object(text: Column) -> Column:
+    """Whether a text that begins an array with one object ends there.
+
+    Only ``]`` right behind an object could close the brackets put around the text and hide what follows. Such a text is read
+    once more with a field behind it: for that to be found the object would have to be followed by ``,``, not ``]``.
+    """
+    again = F.from_json(F.concat(F.lit('{"message":'), text, F.lit(',"end":1}')), T.StructType([T.StructField("end", T.IntegerType())]))
+    return F.when(text.rlike(r"\}\s*\]"), F.coalesce(again["end"] == 1, F.lit(False))).otherwise(True)
+
+
 def decode_messages(
     raw: DataFrame, schema: T.StructType, value: str = "value", keep: list[str] | None = None, misfits: bool = False
 ) -> DataFrame:
@@ -29,9 +39,10 @@ def decode_messages(
     # in brackets, whatever stands behind the first object breaks the array or makes it longer
     items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(as_text))
     raw = raw.select(*(keep or []), text.alias("__text"), items.alias("__items"))
+    text = F.col("__text")
     # inline() makes the parsed fields columns of their own, so that a later filter on one of
     # them works on the parsed text and does not parse the message a second time
-    one = (F.size("__items") == 1) & F.get("__items", F.lit(0)).isNotNull()
+    one = (F.size("__items") == 1) & F.get("__items", F.lit(0)).isNotNull() & _ends_with_object(text)
     whole = F.struct(F.coalesce(one, F.lit(False)).alias("__one"), *[F.get("__items", F.lit(0))[n].alias(f"__{n}") for n in as_text.names])
     parsed = raw.select(*(keep or []), "__text", F.inline(F.array(whole)))
     unreadable = F.when(~F.col("__one"), F.coalesce(F.col("__text"), F.lit("")))

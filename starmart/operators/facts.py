@@ -16,7 +16,7 @@ def conform(
 ) -> DataFrame:
     """Select, order and cast to the target's columns and types.
 
-    A value that does not fit its type becomes NULL (`quality.misfits` reports it); an absent
+    A value that does not fit its type becomes NULL (the rules ``type:`` of `quality.row_rules` find it); an absent
     column becomes NULL; then the named defaults fill what is NULL.
     """
     now = F.current_timestamp() if now is None else now

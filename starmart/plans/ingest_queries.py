@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -353,9 +354,12 @@ def quarantine_fields(spark, sf_dir):
         5: '{"position": 1, "points": NaN}',
         6: '{"position": "2.0", "points": 3}  ',
     }
+    # closing the brackets that the decoder puts around a text must not hide what follows
+    hidden = ['{"position": 1, "points": 3}] trailing', '{"position": 1, "points": 3}],[{"position": 2}', '{"position": 1, "points": 3} ] {"position": 2}']
+    bad[4] = F.element_at(F.array(*[F.lit(t) for t in [bad[4], *hidden]]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     value = F.lit('{"position": 7, "points": 1.5}')
     for number, text in bad.items():
-        value = F.when(at == number, F.lit(text)).otherwise(value)
+        value = F.when(at == number, text if isinstance(text, Column) else F.lit(text)).otherwise(value)
     schema = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("points", T.DoubleType())])
     rows = decode.decode_messages(table(spark, sf_dir, "orders").select(value.alias("value")), schema, misfits=True)
     marked = decode.with_reason(rows, {"missing_points": F.col("points").isNotNull()})

@@ -8,8 +8,9 @@ later steps read.
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.scalars import entity_key
@@ -27,6 +28,7 @@ from starmart.schemas import (
     message_schema,
     table_schema,
 )
+from starmart.sources import versions
 from starmart.sources.relational import append_relation, read_relation
 from starmart.sources.staging import cleans_up, stage
 from starmart.sources.tables import (
@@ -35,8 +37,8 @@ from starmart.sources.tables import (
     read_table,
     touched_partitions,
     upsert_table,
-    write_partitioned,
 )
+from starmart.plans.mart_updates import seasons_in, update_marts
 from starmart.streaming.streams import each_batch
 
 log = logging.getLogger(__name__)
@@ -49,19 +51,35 @@ FACT_OF = {
 }
 
 
+# why a readable row is not stored
+DROPPED = "_lacking"
+
+# partitions of the driver dimension; a load rewrites those that it has drivers of
+SHARD, DRIVER_SHARDS = "shard", 16
+
+# facts that marts follow by their changes
+FOLLOWED = ("fact_race_result", "fact_pit_stop")
+
 # parts of the natural key that the tables allow to be missing, but without which rows cannot be told apart
 NEEDED = {"pit_stop": ["driver_id"], "telemetry": ["driver_id"]}
 
 
-def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFrame:
-    """Decode once, write what cannot be stored to ``quarantine/<event type>``, return the rest."""
-    fact = FACT_OF[event_type]
-    # counted while being written: no extra job
-    seen = Observation(event_type)
-    decoded = decode.decode_messages(raw, message_schema(event_type), misfits=True)
-    counts = [F.count(F.lit(1)).alias("messages"), F.count(decode.CORRUPT).alias("unreadable")]
-    rows = stage(decoded.observe(seen, *counts), event_type)
-    log.info("%s: %d messages, %d unreadable", event_type, seen.get["messages"], seen.get["unreadable"])
+# where a message came from; with them a message that is read again is known
+ORIGIN = ["topic", "partition", "offset"]
+MESSAGE_HASH = "_message_hash"
+
+
+def decode_and_split(raw: DataFrame, event_type: str, warehouse: str, needed: dict[str, Column] | None = None) -> DataFrame:
+    """Decode once, keep aside what cannot be stored, return the rest.
+
+    Unreadable messages and values that do not fit go to ``quarantine/<event type>`` with a reason; rows that lack what
+    ``needed`` asks for go to ``dropped/<event type>``. Reading the same messages again adds nothing there. Counts by reason
+    are appended to the table ``loads``.
+    """
+    spark, fact = raw.sparkSession, FACT_OF[event_type]
+    origin = [c for c in ORIGIN if c in raw.columns]
+    told = raw.withColumn(MESSAGE_HASH, F.xxhash64("value"))
+    rows = stage(decode.decode_messages(told, message_schema(event_type), keep=[*origin, MESSAGE_HASH], misfits=True), event_type)
     sized = {f.name: f.dataType.simpleString() for f in table_schema(fact) if f.name in rows.columns}
     sized.pop("ingested_at", None)
     sized.pop("sampled_at", None)
@@ -69,10 +87,36 @@ def decode_and_split(raw: DataFrame, event_type: str, warehouse: str) -> DataFra
     broken |= {f"not_null:{c}": entity_key(F.col(c)).isNull() for c in NEEDED.get(event_type, [])}
     # a race's number in a fact key has no room for a sign
     broken |= {f"range:{c}": F.col(c) < 0 for c in ("year", "round") if c in rows.columns and fact in SURROGATE_KEY}
-    good, bad = decode.split_quarantine(rows, {name: ~condition for name, condition in broken.items()})
-    if not bad.isEmpty():
-        append_table(bad.withColumn("_quarantined_at", F.current_timestamp()), f"{warehouse}/quarantine/{event_type}", [])
-    return good
+    marked = decode.with_reason(rows, {name: ~condition for name, condition in broken.items()})
+    lacking = F.concat_ws(",", *[F.when(~holds, F.lit(name)) for name, holds in (needed or {}).items()])
+    marked = marked.withColumn(DROPPED, F.when(F.col(decode.REASON).isNull(), F.nullif(lacking, F.lit(""))))
+    # there are as many reasons as rules
+    counts = marked.groupBy(decode.REASON, DROPPED).agg(F.count(F.lit(1)).alias("messages"))
+    tally = [(event_type, "quarantined" if r[0] else "dropped" if r[1] else "good", r[0] or r[1], r[2]) for r in counts.collect()]
+    log.info("%s: %s", event_type, tally)
+    told = spark.createDataFrame(tally, "event_type string, outcome string, reason string, messages bigint")
+    append_table(told.withColumn("loaded_at", F.current_timestamp()), f"{warehouse}/loads", [])
+    if any(t[1] == "quarantined" for t in tally):
+        bad = marked.filter(F.col(decode.REASON).isNotNull()).drop(DROPPED)
+        keep_aside(spark, bad.withColumn("_quarantined_at", F.current_timestamp()), f"{warehouse}/quarantine/{event_type}")
+    if any(t[1] == "dropped" for t in tally):
+        dropped = marked.filter(F.col(DROPPED).isNotNull()).drop(decode.REASON, decode.CORRUPT, decode.MISFIT)
+        keep_aside(spark, dropped.withColumn("_dropped_at", F.current_timestamp()), f"{warehouse}/dropped/{event_type}")
+    good = marked.filter(F.col(decode.REASON).isNull() & F.col(DROPPED).isNull())
+    return good.drop(decode.REASON, decode.CORRUPT, decode.MISFIT, DROPPED, MESSAGE_HASH, *origin)
+
+
+def keep_aside(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Append the messages that are not there yet. Without an offset a message cannot be told from another like it: all are kept."""
+    if "offset" in rows.columns:
+        key = [c for c in [*ORIGIN, MESSAGE_HASH] if c in rows.columns]
+        rows = rows.dropDuplicates(key)
+        known = read_table(spark, path)
+        if known is not None and set(key) <= set(known.columns):
+            known = known.select(*[F.col(c).alias(f"__known_{c}") for c in key])
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__known_{c}")) for c in key])
+            rows = rows.join(known, same, "left_anti")
+    append_table(rows, path, [])
 
 
 def _to_fact(rows: DataFrame, table: str, now: Column | None) -> DataFrame:
@@ -98,7 +142,7 @@ def store_fact(spark: SparkSession, warehouse: str, table: str, rows: DataFrame)
         known = touched_partitions(known, rows, parts, values)
         race = F.shiftleft(F.col("year").cast("bigint"), dims.ROUND_BITS) + F.col("round")
         rows = dims.assign_fact_keys(rows, keys, key, race, known).select(*table_schema(table).names)
-    upsert_table(spark, path, rows, keys, ["ingested_at"], parts, SORTED_BY[table], values)
+    upsert_table(spark, path, rows, keys, ["ingested_at"], parts, SORTED_BY[table], values, keep_changes=table in FOLLOWED)
 
 
 def store_dimension(spark: SparkSession, warehouse: str, table: str, incoming: DataFrame) -> None:
@@ -115,6 +159,7 @@ def store_dimension(spark: SparkSession, warehouse: str, table: str, incoming: D
 
 
 def store_drivers(spark: SparkSession, warehouse: str, results: DataFrame) -> None:
+    """Merge drivers into the dimension. It lies in shards by a hash of the key; those without a driver of this load stay as they are."""
     path, schema = f"{warehouse}/dim_driver", table_schema("dim_driver")
     seen = results.groupBy("driver_id").agg(
         F.min("ingested_at").alias("created_at"),
@@ -122,20 +167,28 @@ def store_drivers(spark: SparkSession, warehouse: str, results: DataFrame) -> No
         F.max(F.struct(F.col("year").alias("last_year"), F.col("round").alias("last_round"))).alias("last"),
     )
     current = dims.driver_dimension(results).join(seen.select("*", "last.*").drop("last"), "driver_id")
-    merged = dims.merge_drivers(read_table(spark, path, schema), facts.conform(current, schema))
-    write_partitioned(stage(merged.select(*schema.names), "dim_driver"), path, [], ["driver_id"])
+    incoming = stage(in_shards(facts.conform(current, schema)), "dim_driver")
+    before = versions.adopt(spark, path, [SHARD])
+    known = versions.read_version(spark, path, before, incoming.schema)
+    merged = dims.merge_drivers(touched_partitions(known, incoming, [SHARD]).select(*schema.names), incoming.select(*schema.names))
+    versions.replace_partitions(in_shards(merged.select(*schema.names)), path, [SHARD], ["driver_id"], before)
+
+
+def in_shards(drivers: DataFrame) -> DataFrame:
+    return drivers.withColumn(SHARD, F.pmod(F.xxhash64("driver_id"), F.lit(DRIVER_SHARDS)).cast("int"))
 
 
 @cleans_up
 def load_race_results(spark: SparkSession, raw: DataFrame, warehouse: str, now: Column | None = None) -> list[int]:
     """Results into drivers, circuits, teams and the result fact; returns the seasons touched."""
-    good = decode_and_split(raw, "race_result", warehouse)
+    needed = {"driver_id": entity_key(F.col("driver_id")).isNotNull(), "position": F.col("position").isNotNull()}
+    good = decode_and_split(raw, "race_result", warehouse, needed)
     results = stage(clean.clean_results(good), "results")
     store_drivers(spark, warehouse, results)
     store_dimension(spark, warehouse, "dim_circuit", dims.circuit_dimension(results))
     store_dimension(spark, warehouse, "dim_team", dims.team_dimension(results))
     store_fact(spark, warehouse, "fact_race_result", _to_fact(results, "fact_race_result", now))
-    return seasons_of(results)
+    return seasons_in(results)
 
 
 @cleans_up
@@ -147,7 +200,7 @@ def load_pit_stops(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
     stops = _unique(_to_fact(stops, "fact_pit_stop", now), "fact_pit_stop")
     store_dimension(spark, warehouse, "dim_tyre", dims.tyre_seed(spark))
     store_fact(spark, warehouse, "fact_pit_stop", stops)
-    return seasons_of(stops)
+    return seasons_in(stops)
 
 
 def content_id(rows: DataFrame, sample: str) -> Column:
@@ -175,7 +228,7 @@ def load_telemetry(spark: SparkSession, raw: DataFrame, warehouse: str, now: Col
     )
     samples = _unique(_to_fact(samples, "fact_telemetry", now), "fact_telemetry")
     store_fact(spark, warehouse, "fact_telemetry", samples)
-    return seasons_of(samples)
+    return seasons_in(samples)
 
 
 @cleans_up
@@ -191,7 +244,7 @@ def load_weather(spark: SparkSession, raw: DataFrame, warehouse: str, now: Colum
     )
     samples = _unique(_to_fact(samples, "fact_weather", now), "fact_weather")
     store_fact(spark, warehouse, "fact_weather", samples)
-    return seasons_of(samples)
+    return seasons_in(samples)
 
 
 LOADERS = {
@@ -205,15 +258,14 @@ LOADERS = {
 def load_stream(
     spark: SparkSession, raw: DataFrame, event_type: str, warehouse: str, checkpoint: str
 ) -> None:
-    """The same load on a stream of topic rows, batch by batch, marts included.
+    """The same load on a stream of topic rows, batch by batch, marts included, which take only what a batch changes.
 
     Batches may be handed over twice after a failure; the load is repeatable, so nothing doubles.
     """
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
-        seasons = LOADERS[event_type](batch.sparkSession, batch, warehouse)
-        if seasons:
-            refresh_marts(batch.sparkSession, warehouse, seasons)
+        LOADERS[event_type](batch.sparkSession, batch, warehouse)
+        update_marts(batch.sparkSession, warehouse)
 
     each_batch(raw, checkpoint, handle)
 
@@ -230,37 +282,12 @@ def export_table(spark: SparkSession, warehouse: str, table: str, link: dict, **
     append_relation(stage(rows.join(known, keys, "left_anti"), "export"), link, table)
 
 
-def seasons_of(rows: DataFrame) -> list[int]:
-    """The seasons in ``rows``. A season is a SMALLINT, so the list is small whatever the row count."""
-    return sorted(r[0] for r in rows.select("year").distinct().collect() if r[0] is not None)
-
-
-@cleans_up
 def refresh_marts(spark: SparkSession, warehouse: str, seasons: list[int] | None = None) -> None:
-    """Recompute the marts of the given seasons (all if None) and replace their partitions.
-
-    Driver standings are stored without names: `serving.register_views` joins the dimension, so a
-    renamed driver shows in all seasons. `vw_season_team_rank` ranks every result among those of its season and team;
-    as a season's later results move earlier ones, it is a mart of the whole season and no fact column.
-    """
-
-    def scan(table: str) -> DataFrame | None:
-        rows = read_table(spark, f"{warehouse}/{table}", table_schema(table))
-        if rows is None or seasons is None:
-            return rows
-        return rows.filter(F.col("year").isin(seasons))
-
-    results, stops = scan("fact_race_result"), scan("fact_pit_stop")
-    if results is not None:
-        by_driver = marts.ranked_drivers(results)
-        write_partitioned(by_driver, f"{warehouse}/vw_driver_standings", ["year"], ["championship_rank", "driver_id"])
-        by_team = marts.team_standings(results)
-        write_partitioned(by_team, f"{warehouse}/vw_team_standings", ["year"], ["championship_rank", "team"])
-        entries = clean.team_rank(results.select("year", "round", "driver_id", "team", "points"))
-        write_partitioned(entries, f"{warehouse}/vw_season_team_rank", ["year"], ["team", "season_team_rank", "driver_id"])
-    if stops is not None:
-        strategy = marts.pit_strategy(stops)
-        write_partitioned(strategy, f"{warehouse}/vw_pit_stop_strategy", ["year"], ["gp_name", "driver_id"])
+    """Bring the marts up to date, with those of the given seasons recomputed from the facts (of all seasons if None)."""
+    if seasons is None:
+        facts = [read_table(spark, f"{warehouse}/{t}", table_schema(t)) for t in ("fact_race_result", "fact_pit_stop")]
+        seasons = sorted({s for rows in facts if rows is not None for s in seasons_in(rows)})
+    update_marts(spark, warehouse, seasons)
 
 
 def enrich_results(spark: SparkSession, warehouse: str) -> DataFrame:

@@ -50,6 +50,34 @@ def stream_decode(spark, sf_dir):
     return plain(read_table(spark, path).select("*", day).drop("ingested_at"))
 
 
+@query(
+    """SELECT CASE o_orderkey % 6 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'unreadable' WHEN 3 THEN 'misfit:position'
+                                  WHEN 4 THEN 'position_known' END AS reason,
+              count(*) AS messages, sum(o_orderkey) AS keys
+       FROM orders GROUP BY 1"""
+)
+def stream_quarantine(spark, sf_dir):
+    # good and broken messages arrive in several batches
+    key = F.col("o_orderkey").cast("string")
+    kinds = [
+        F.concat(F.lit('{"round": '), key, F.lit(', "position": 3}')),
+        F.concat(F.lit('{"round": '), key, F.lit(', "position": 3}],[{"round": 1}')),
+        F.concat(F.lit('{"round": '), key),
+        F.concat(F.lit('{"round": '), key, F.lit(', "position": "third"}')),
+        F.concat(F.lit('{"round": '), key, F.lit(', "position": null}')),
+        F.concat(F.lit('{"position": 4.0, "round": "'), key, F.lit('"}')),
+    ]
+    value = F.element_at(F.array(*kinds), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    messages = _in_files(spark, table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")))
+    path, schema = new_folder(spark, "stream_quarantine"), T.StructType.fromDDL("round bigint, position int")
+    rules = {"position_known": F.col("position").isNotNull()}
+    streams.split_stream(messages, schema, path, new_folder(spark, "stream_quarantine_progress"), rules, keep=["o_orderkey"])
+    good = read_table(spark, f"{path}/good").withColumn("_reason", F.lit(None).cast("string"))
+    rows = good.unionByName(read_table(spark, f"{path}/bad").select(*good.columns))
+    counts = rows.groupBy(F.col("_reason").alias("reason"))
+    return plain(counts.agg(F.count(F.lit(1)).alias("messages"), F.sum("o_orderkey").alias("keys")))
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_dedup(spark, sf_dir):
     # every event arrives twice

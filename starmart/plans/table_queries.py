@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.operators import dims, facts, quality
-from starmart.plans.registry import plain, query, table
+from starmart.operators import deltas, dims, facts, quality
+from starmart.operators.windows import rank_within
+from starmart.plans.registry import hundredths, money, plain, query, table
 from starmart.sources.staging import new_folder, stage
 from starmart.sources.tables import append_table, read_table, upsert_table, write_partitioned
 
@@ -161,6 +162,33 @@ def upsert_written(spark, sf_dir):
     return plain(read_table(spark, path).drop("ingested_at"))
 
 
+@query(
+    """WITH t AS (
+        SELECT CAST(year(o_orderdate) AS BIGINT) AS year,
+               CASE WHEN o_orderstatus = 'O' THEN o_custkey % 50 ELSE o_custkey END AS driver_id,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS points
+        FROM orders)
+    SELECT year, driver_id, CAST(sum(points) AS DOUBLE) AS total_points,
+           rank() OVER (PARTITION BY year ORDER BY sum(points) DESC NULLS LAST) AS championship_rank
+    FROM t GROUP BY year, driver_id"""
+)
+def mart_deltas(spark, sf_dir):
+    # every order arrives, some change their driver and points, then all that came first is replayed
+    points = hundredths("o_totalprice")
+    orders = _orders(spark, sf_dir).withColumns({"driver_id": F.col("o_custkey"), "points": points, "version": F.lit(0)})
+    moved = {"driver_id": F.when(F.col("o_orderstatus") == "O", F.col("o_custkey") % 50).otherwise(F.col("o_custkey"))}
+    moved |= {"points": F.when(F.col("o_orderstatus") != "P", points), "version": F.lit(1)}
+    columns = ["year", "round", "o_orderkey", "driver_id", "points", "version"]
+    path, totals, by = new_folder(spark, "mart_deltas"), None, ["year", "driver_id"]
+    for batch in (orders, orders.withColumns(moved), orders):
+        after = upsert_table(spark, path, batch.select(*columns), ["year", "round", "o_orderkey"], ["version"], ["year", "round"], keep_changes=True)
+        signed = deltas.signed_rows(spark.read.parquet(f"{path}/{after.changes}"))
+        difference = deltas.sums(signed, by, {"points": F.col("points")}, deltas.SIGN)
+        totals = stage(difference if totals is None else deltas.with_difference(totals, difference, by), "totals")
+    shown = deltas.shown(totals, by, ["points"]).withColumnRenamed("points", "total_points")
+    return plain(money(rank_within(stage(shown, "shown"), ["year"], "total_points")))
+
+
 @query(
     """SELECT CAST(year(o_orderdate) AS BIGINT) AS year, CAST(month(o_orderdate) AS BIGINT) AS round, o_custkey,
               o_orderkey, o_totalprice

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.operators.deltas import change_rows
 from starmart.operators.facts import upsert
-from starmart.sources.staging import cleans_up, stage
+from starmart.sources import versions
 
 
 # up to this many touched partitions are listed in a filter; beyond it they are joined
@@ -18,10 +19,13 @@ MAX_LISTED_PARTITIONS = 2_000
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None if nothing was written there yet.
+    """The table at ``path``, or None if nothing was written there yet; of a versioned table, the newest version.
 
     With ``schema``, partition columns keep their declared type instead of an inferred one.
     """
+    table = versions.manifest(spark, path)
+    if table is not None:
+        return versions.read_version(spark, path, table, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         rows = reader.parquet(path)
@@ -100,7 +104,6 @@ def _equal(columns: list[str], values) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values)])
 
 
-@cleans_up
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -110,18 +113,18 @@ def upsert_table(
     partition_by: list[str],
     sort_by: list[str] | None = None,
     values: list | None = None,
-) -> None:
-    """Merge ``incoming`` into the table at ``path``; running it twice changes nothing.
-
-    Only the partitions that ``incoming`` touches are read and rewritten. The partition
-    columns must be part of (or determined by) ``keys``. The merged rows are staged first,
-    because a plan must not overwrite the files it reads. ``incoming`` is read twice unless its
-    partition ``values`` are given, so pass a staged frame when it is costly.
+    keep_changes: bool = False,
+) -> versions.Manifest:
+    """Merge ``incoming`` into the versioned table at ``path``; running it twice changes nothing.
+
+    Only the partitions that ``incoming`` touches are read, and each is written once, to a new folder; the switch to them
+    is the last step, so a write that dies leaves the table as it was. The partition columns must be part of (or determined
+    by) ``keys``. ``incoming`` is read twice unless its partition ``values`` are given, so pass a staged frame when it is costly. With
+    ``keep_changes`` (keys of ``incoming`` being unique) the rows added and replaced are kept beside the table, with their
+    images before and after, for tables that follow it.
     """
-    current = read_table(spark, path, incoming.schema)
-    if current is None:
-        write_partitioned(upsert(None, incoming, keys, order_by), path, partition_by, sort_by)
-        return
-    current = touched_partitions(current, incoming, partition_by, values)
-    merged = stage(upsert(current, incoming, keys, order_by), "merge")
-    write_partitioned(merged, path, partition_by, sort_by)
+    before = versions.adopt(spark, path, partition_by)
+    current = versions.read_version(spark, path, before, incoming.schema)
+    touched = touched_partitions(current, incoming, partition_by, values)
+    changes = change_rows(touched, incoming, keys, order_by) if keep_changes else None
+    return versions.replace_partitions(upsert(touched, incoming, keys, order_by), path, partition_by, sort_by, before, changes=changes)

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from starmart.operators import clean, decode
 from starmart.operators.windows import rank_within
+from starmart.sources import versions
+from starmart.sources.staging import cleans_up, stage
 from starmart.sources.tables import read_table, upsert_table
 
 
@@ -30,10 +32,56 @@ def stream_files(
 
 
 def decode_stream(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Decoded, cleaned and flagged result rows; the batch functions work on a stream as they are."""
+    """Decoded, cleaned and flagged result rows; the batch functions work on a stream as they are.
+
+    Unreadable messages and rows without driver or position are left out; `split_stream` keeps them.
+    """
     return clean.clean_flags(decode.decode_messages(raw, schema)).drop(decode.CORRUPT)
 
 
+def split_stream(
+    raw: DataFrame,
+    schema: T.StructType,
+    path: str,
+    checkpoint: str,
+    rules: dict[str, Column] | None = None,
+    keep: list[str] | None = None,
+    event_time: str | None = None,
+    delay_seconds: int = 0,
+) -> None:
+    """Decode a stream of messages into two tables, ``path/good`` and ``path/bad`` (with ``_reason``), nothing being dropped.
+
+    Each micro-batch is a partition ``batch`` of both, so one that is handed over again replaces what it wrote before. Batch numbers
+    begin anew with a new checkpoint, so tables that another one has filled further are refused. With
+    ``event_time`` (a timestamp made of the decoded columns, as text), a readable row more than ``delay_seconds`` older than the
+    latest of the batches before goes to ``bad`` with the reason ``late``. ``keep`` names columns of ``raw`` to carry along.
+    """
+    good_path, bad_path = f"{path}/good", f"{path}/bad"
+
+    @cleans_up
+    def split(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
+        known = versions.manifest(spark, good_path)
+        marks = {} if known is None else known.marks
+        if marks.get("batch", 0) > batch_id:
+            raise ValueError(f"{path} holds batches up to {marks['batch']} of another checkpoint; batch {batch_id} would take the place of one")
+        # of a batch handed over again, the latest time before it counts
+        limit = marks.get("before" if marks.get("batch") == batch_id else "latest")
+        rows = decode.decode_messages(batch, schema, keep=keep, misfits=True)
+        at = F.lit(None).cast("bigint") if event_time is None else F.unix_micros(F.expr(event_time).cast("timestamp"))
+        own = dict(rules or {})
+        if event_time is not None and limit is not None:
+            own["late"] = F.coalesce(at >= limit - delay_seconds * 1_000_000, F.lit(True))
+        rows = stage(decode.with_reason(rows, own).withColumns({"__at": at, "batch": F.lit(batch_id).cast("bigint")}), "split")
+        good = rows.filter(F.col(decode.REASON).isNull())
+        bad = rows.filter(F.col(decode.REASON).isNotNull()).drop("__at")
+        versions.replace_partitions(bad, bad_path, ["batch"])
+        latest = max(filter(None, [limit, good.agg(F.max("__at")).first()[0]]), default=None)
+        told = {"batch": batch_id} | {k: v for k, v in (("before", limit), ("latest", latest)) if v is not None}
+        versions.replace_partitions(good.drop("__at", decode.REASON, decode.CORRUPT, decode.MISFIT), good_path, ["batch"], marks=told)
+
+    each_batch(raw, checkpoint, lambda batch, batch_id: split(batch.sparkSession, batch, batch_id))
+
+
 def drop_replays(events: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay`` of the first; rows older than the watermark are dropped.
 

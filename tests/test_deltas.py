@@ -1,0 +1,162 @@
+"""Marts kept by change rows: equal to a recompute after every batch, without reading whole seasons."""
+
+import decimal
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.operators import deltas, facts
+from starmart.plans import load, mart_updates, serving
+from starmart.sources import versions
+from starmart.sources.tables import read_table
+from tests.test_load import result, stop, topic_rows
+
+SCHEMA = "year int, k int, at int, driver string, points decimal(6,1), won boolean"
+BY = ["year", "driver"]
+
+
+def measures():
+    return {"points": F.col("points"), "wins": F.when(F.col("won"), F.lit(1)).otherwise(F.lit(0))}
+
+
+def test_fifty_random_batches_equal_a_recompute(spark):
+    rng = random.Random(8)
+    table, totals = spark.createDataFrame([], SCHEMA), None
+    for n in range(50):
+        rows = {}
+        for _ in range(rng.randint(0, 12)):
+            key = (rng.randint(2020, 2022), rng.randint(0, 9))
+            rows[key] = (*key, rng.choice([None, n, n - 3]), rng.choice(["A", "B", "C", None]), rng.choice([None, 1, 2.5, -3]), rng.random() < 0.3)
+        batch = spark.createDataFrame([(*r[:4], None if r[4] is None else decimal.Decimal(str(r[4])), r[5]) for r in rows.values()], SCHEMA)
+        changes = deltas.change_rows(table, batch, ["year", "k"], ["at"])
+        difference = deltas.sums(deltas.signed_rows(changes), BY, measures(), deltas.SIGN)
+        totals = difference if totals is None else deltas.with_difference(totals, difference, BY)
+        totals = spark.createDataFrame(totals.collect(), totals.schema)
+        merged = facts.upsert(table, batch, ["year", "k"], ["at"])
+        table = spark.createDataFrame(merged.collect(), SCHEMA)
+        if n % 7 == 0 or n == 49:
+            want = table.groupBy(*BY).agg(F.sum("points"), F.count_if("won"))
+            got = deltas.shown(totals, BY, ["points", "wins"])
+            assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+
+
+def standings(spark, warehouse):
+    serving.register_views(spark, warehouse)
+    names = ["vw_driver_standings", "vw_team_standings", "vw_season_team_rank", "vw_pit_stop_strategy"]
+    views = {n: spark.table(n) for n in names}
+    return {n: sorted(map(repr, map(tuple, v.select(*sorted(v.columns)).collect()))) for n, v in views.items()}
+
+
+BATCHES = [
+    [result(2024, 1, "ver", "Red", 1, 25), result(2024, 1, "ham", "Silver", 2, 18), result(2023, 5, "ham", "Silver", 1, 25)],
+    [result(2024, 2, "ver", "Red", 2, 18), result(2024, 2, "ham", "Silver", 1, 25)],
+    # a correction moves a driver to another team and takes points back; one row is replayed
+    [result(2024, 1, "ham", "Red", 11, 0, at="2024-03-09T15:00:00"), result(2024, 2, "ver", "Red", 2, 18), result(2024, 3, "alo", "Green", 1, "NaN")],
+    [result(2024, 2, "ver", "Red", 2, 18)],
+]
+STOPS = [[stop(5), stop(20, compound="HARD")], [stop(7, driver="ham")], [stop(20, compound="WET", duration=30.0, at="2024-03-05T16:00:00")], [stop(5)]]
+
+
+def test_marts_follow_the_loads(spark, tmp_path):
+    warehouse, other = str(tmp_path / "w"), str(tmp_path / "again")
+    for results, stops in zip(BATCHES, STOPS, strict=True):
+        for path in (warehouse, other):
+            load.load_race_results(spark, topic_rows(spark, results), path)
+            load.load_pit_stops(spark, topic_rows(spark, stops), path)
+        mart_updates.update_marts(spark, warehouse)
+    load.refresh_marts(spark, other)
+    want = standings(spark, other)
+    assert standings(spark, warehouse) == want
+    assert any("'HAM', 43.0" in r or "Decimal('50.0')" in r or "HAM" in r for r in want["vw_driver_standings"])
+    # nothing new: nothing is counted twice
+    mart_updates.update_marts(spark, warehouse)
+    assert standings(spark, warehouse) == want
+
+
+@pytest.fixture
+def loaded(spark, tmp_path):
+    warehouse = str(tmp_path / "w")
+    for results in BATCHES[:2]:
+        load.load_race_results(spark, topic_rows(spark, results), warehouse)
+        mart_updates.update_marts(spark, warehouse)
+    return warehouse
+
+
+def points(spark, warehouse):
+    rows = read_table(spark, f"{warehouse}/vw_driver_standings").collect()
+    return {(r.year, r.driver_id): float(r.total_points) for r in rows}
+
+
+@pytest.mark.parametrize("dies_at", ["update_totals", "rank_within"])
+def test_a_crash_between_facts_and_marts(spark, loaded, monkeypatch, dies_at):
+    load.load_race_results(spark, topic_rows(spark, [result(2024, 3, "ver", "Red", 1, 25)]), loaded)
+    real = getattr(mart_updates, dies_at)
+
+    def die(*args):
+        if dies_at == "update_totals":
+            real(*args)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(mart_updates, dies_at, die)
+    with pytest.raises(RuntimeError, match="killed"):
+        mart_updates.update_marts(spark, loaded)
+    monkeypatch.undo()
+    # the batch is handed over again, as a stream would
+    load.load_race_results(spark, topic_rows(spark, [result(2024, 3, "ver", "Red", 1, 25)]), loaded)
+    mart_updates.update_marts(spark, loaded)
+    assert points(spark, loaded) == {(2024, "VER"): 68.0, (2024, "HAM"): 43.0, (2023, "HAM"): 25.0}
+
+
+def test_versions_without_changes_lead_to_a_recompute(spark, loaded):
+    for r in range(3, 6):  # several loads without an update in between: their changes are gone
+        load.load_race_results(spark, topic_rows(spark, [result(2024, r, "ver", "Red", 1, 25)]), loaded)
+    mart_updates.update_marts(spark, loaded)
+    assert points(spark, loaded)[2024, "VER"] == 118.0
+
+
+def test_kept_versions_are_caught_up_together(spark, loaded):
+    spark.conf.set(versions.KEEP, "9")
+    try:
+        for r in range(3, 6):
+            load.load_race_results(spark, topic_rows(spark, [result(2024, r, "ver", "Red", 1, 25)]), loaded)
+        path = f"{loaded}/fact_race_result"
+        changes = mart_updates.changes_since(spark, path, "fact_race_result", 2)
+        assert changes.count() == 3 and all("/_changes-" in f for f in changes.inputFiles())
+        mart_updates.update_marts(spark, loaded)
+    finally:
+        spark.conf.unset(versions.KEEP)
+    assert points(spark, loaded)[2024, "VER"] == 118.0
+
+
+def test_a_small_batch_reads_no_season(spark, loaded, monkeypatch):
+    load.load_race_results(spark, topic_rows(spark, [result(2024, 2, "ver", "Red", 3, 15, at="2024-04-01T00:00:00")]), loaded)
+    read = []
+    real = versions.replace_partitions
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(versions, "replace_partitions", lambda df, path, *a, **k: read.append((path, df.inputFiles(), plan(df))) or real(df, path, *a, **k))
+    mart_updates.update_marts(spark, loaded)
+    assert len(read) == 5 and not [f for _, files, _ in read for f in files if "/fact_race_result/year=" in f]
+    files, text = next((files, text) for path, files, text in read if path.endswith("/totals_driver"))
+    assert any("/fact_race_result/_changes-" in f for f in files)
+    assert re.search(r"PartitionFilters: \[.*year#\d+.*2024", text)
+
+
+def test_strategies_of_touched_events_only(spark, sf_dir, tmp_path):
+    warehouse = str(tmp_path / "w")
+    load.load_pit_stops(spark, topic_rows(spark, [stop(5), stop(6, driver="ham")]), warehouse)
+    stops = read_table(spark, f"{warehouse}/fact_pit_stop", load.table_schema("fact_pit_stop"))
+    groups = spark.createDataFrame([(2024, "GP 1", "VER")], "year smallint, gp_name string, driver_id string")
+    found = mart_updates.touched_strategies(stops, groups)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(gp_name, [GP 1])" in plan or "EqualTo(gp_name,GP 1)" in plan
+    assert [r.driver_id for r in found.collect()] == ["VER"]
+
+
+def test_drivers_lie_in_shards(spark, loaded):
+    before = {p: c for p, c in versions.manifest(spark, f"{loaded}/dim_driver").commits.items()}
+    load.load_race_results(spark, topic_rows(spark, [result(2024, 9, "new", "Red", 5, 10)]), loaded)
+    after = versions.manifest(spark, f"{loaded}/dim_driver").commits
+    assert len([p for p in after if after[p] != before.get(p)]) == 1
+    assert sorted(r.driver_id for r in read_table(spark, f"{loaded}/dim_driver").collect()) == ["HAM", "NEW", "VER"]

@@ -143,6 +143,17 @@ def field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns like these that no column of ``df`` has."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import blocks, hashed_words, stage_table, utf8
+from starmart.llm.common import blocks, hashed_words, stage_table, unused, utf8
 
 WINDOW = 10
 SLICE_CHARS = 8 << 20  # benchmark characters searched for, and broadcast, at once
@@ -241,8 +241,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents without any benchmark window. Rows that share a doc_id are judged each by its own text; rows without
-    doc_id stay."""
-    rows = docs.filter("doc_id IS NOT NULL").select(F.struct("doc_id", F.xxhash64("text").alias("text_key")).alias("doc_id"), "text")
-    bad = contamination(rows, benchmark, window).filter("n_hit > 0").select(F.col("doc_id.doc_id").alias("_doc"), F.col("doc_id.text_key").alias("_key")).distinct()
-    return docs.join(bad, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left_anti").select(*docs.columns)
+    """Documents without any benchmark window. Rows that share a doc_id, or have none, are judged each by its own text."""
+    rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_key")).alias("doc_id"), "text")
+    doc, key = unused(docs, "doc", "key")
+    bad = contamination(rows, benchmark, window).filter("n_hit > 0").select(F.col("doc_id.doc_id").alias(doc), F.col("doc_id.text_key").alias(key)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(key)), "left_anti").select(*docs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.bloom import filter_bits, suspected, twice_filter
-from starmart.llm.common import as_bytes, stage_table, with_fields
+from starmart.llm.common import as_bytes, stage_table, unused, with_fields
 
 SPACE = b" \t\n\x0b\x0c\r"
 MAX_FILTER_BITS = 1 << 30
@@ -81,11 +81,11 @@ def repeated_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3,
     return suspects.join(confirmed, "digest").filter("doc_id < keeper").groupBy("doc_id").agg(F.collect_set("digest").alias("digests"))
 
 
-def _apply(least: int, names: list[str], counts: bool):
+def _apply(least: int, names: list[str], counts: bool, digests: str):
     def run(batches):
         for batch in batches:
             texts, lines, dropped = [], [], []
-            drops = batch.column(batch.schema.get_field_index("_digests")).to_pylist()
+            drops = batch.column(batch.schema.get_field_index(digests)).to_pylist()
             for raw, gone in zip(as_bytes(batch.column(batch.schema.get_field_index("text"))), drops, strict=True):
                 own = raw.split(b"\n")
                 lines.append(len(own))
@@ -112,8 +112,9 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 20, least_docs: int
     text becomes empty, one empty line. Other columns pass through; input columns called n_lines or n_dropped are
     replaced. An empty table gives an empty one.
     """
-    docs = docs.drop(*(["n_lines", "n_dropped"] if counts else []), "_digests", "_drop_id")
-    drops = repeated_lines(docs, least_chars, least_docs, max_filter_bits).withColumnRenamed("doc_id", "_drop_id").withColumnRenamed("digests", "_digests")
+    docs = docs.drop(*(["n_lines", "n_dropped"] if counts else []))
+    digests, drop_id = unused(docs, "digests", "drop_id")
+    drops = repeated_lines(docs, least_chars, least_docs, max_filter_bits).select(F.col("doc_id").alias(drop_id), F.col("digests").alias(digests))
     schema = with_fields(docs.schema, n_lines=T.LongType(), n_dropped=T.LongType()) if counts else docs.schema
-    joined = docs.join(drops, docs["doc_id"] == F.col("_drop_id"), "left").drop("_drop_id")
-    return joined.mapInArrow(_apply(least_chars, schema.names, counts), schema)
+    joined = docs.join(drops, docs["doc_id"] == F.col(drop_id), "left").drop(drop_id)
+    return joined.mapInArrow(_apply(least_chars, schema.names, counts, digests), schema)

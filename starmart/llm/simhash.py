@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from starmart.llm.common import as_bytes, stage_table, with_fields
+from starmart.llm.common import as_bytes, stage_table, unused, with_fields
 
 BITS, SEED, SHINGLE, DISTANCE = 64, 42, 4, 4
 LARGEST_BUCKET = 4096
@@ -233,10 +233,16 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, largest_bucket: i
 
 
 def _grouped(docs: DataFrame, distance: int, largest_bucket: int) -> tuple[DataFrame, DataFrame]:
-    marked = stage_table(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint"), "fingerprints")
+    marked = _marked(docs)
     return marked, classes(_prints(marked), distance, largest_bucket)
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, fingerprint) of each row; doc_id and text_key lead back to its text."""
+    marked = with_fingerprints(docs.select("doc_id", "text"))
+    return stage_table(marked.select("doc_id", F.xxhash64("text").alias("text_key"), "fingerprint"), "fingerprints")
+
+
 def _prints(marked: DataFrame) -> DataFrame:
     return stage_table(marked.groupBy(F.col("fingerprint").alias("print")).agg(F.min("doc_id").alias("first")), "prints")
 
@@ -247,23 +253,24 @@ def with_components(docs: DataFrame, column: str = "component", distance: int =
     It is the fingerprint of the group's kept document, so it is never null. Each row is judged by its own text, also
     where rows share a doc_id or have none. Fingerprints are made once and come back to the texts by doc_id and text hash.
     """
-    marked = with_fingerprints(docs.select("doc_id", "text")).select("doc_id", F.xxhash64("text").alias("text_key"), "fingerprint")
-    marked = stage_table(marked, "fingerprints")
+    marked = _marked(docs)
     found = classes(_prints(marked), distance, largest_bucket)
+    doc, key, group = unused(docs, "doc", "key", "group")
     known = (
         marked.join(found, F.col("fingerprint") == F.col("print"))
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(F.min("kept_print").alias("_group"))
+        .groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).agg(F.min("kept_print").alias(group))
     )
-    rows = docs.join(known, (F.xxhash64("text") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    return rows.select(*(c for c in docs.columns if c != column), F.col("_group").alias(column))
+    rows = docs.join(known, (F.xxhash64("text") == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(doc)), "left")
+    return rows.select(*(c for c in docs.columns if c != column), F.col(group).alias(column))
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = DISTANCE, largest_bucket: int = LARGEST_BUCKET) -> DataFrame:
     """One document of each group of near duplicates, the one with the least doc_id (rows with doc_id before others,
-    repeated rows once); columns as they came."""
-    _, found = _grouped(docs, distance, largest_bucket)
-    kept = found.filter("print = kept_print").select(F.col("print").alias("_print"), F.col("component_id").alias("_first"))
-    marked = with_fingerprints(docs, "_fingerprint")
-    first = marked.join(kept, (F.col("_fingerprint") == F.col("_print")) & F.col("doc_id").eqNullSafe(F.col("_first")))
-    order = W.partitionBy("_print", "_first").orderBy("_fingerprint")
-    return first.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*docs.columns)
+    of rows that share it the one with the least text hash, repeated rows once); columns as they came."""
+    marked, found = _grouped(docs, distance, largest_bucket)
+    kept = found.filter("print = kept_print").select("print", "component_id")
+    same = (F.col("fingerprint") == F.col("print")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    doc, key, nth = unused(docs, "doc", "key", "nth")
+    rows = marked.join(kept, same).groupBy("print").agg(F.min("doc_id").alias(doc), F.min("text_key").alias(key)).select(doc, key)
+    first = docs.join(rows, (F.xxhash64("text") == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(doc)))
+    return first.withColumn(nth, F.row_number().over(W.partitionBy(doc, key).orderBy("text"))).filter(F.col(nth) == 1).select(*docs.columns)

@@ -286,7 +286,9 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, max_fi
     runs = sorted_runs(entries, "suffix-runs")
     unstage(entries)  # what sorted_runs returns reads what it has written itself
     marks = (
-        runs.filter("mixed AND first").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n", "twice")).alias("marks"))
+        # equal rows have equal marks: once for all of them
+        runs.filter("mixed AND first").select("doc_id", "text_key", "low", "n", "twice").distinct()
+        .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n", "twice")).alias("marks"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "marks")
     )
     marks = stage_table(marks, "suffix-partial")
@@ -297,7 +299,8 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, max_fi
     again = sorted_runs(strings, "string-runs").filter("twice AND low >= 0")
     unstage(strings)
     spans = (
-        runs.filter("twice").unionByName(again).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
+        runs.filter("twice").unionByName(again).select("doc_id", "text_key", "low", "n").distinct()
+        .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")
     )
     result = T.StructType([docs.schema["doc_id"], *(T.StructField(k, T.LongType()) for k in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType())])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,56 @@ def encoding(path: str):
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+# fixed value: the characters that the pattern takes for white space
+WHITE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
+def text_ids(encode, text: str) -> list[int]:
+    """Ids of a text. The pattern's engine runs out of stack on long white space, so long runs are cut where the pattern would cut
+    them, before their last character if more text follows, and merged here."""
+    ids, at = [], 0
+    for run in WHITE_RUN.finditer(text):
+        ids += encode.encode_ordinary(text[at : run.start()])
+        at = run.end() if run.end() == len(text) else run.end() - 1
+        ids += merged_ids(encode, text[run.start() : at].encode())
+    return ids + encode.encode_ordinary(text[at:])
+
+
+@functools.cache
+def vocabulary(encode) -> tuple[dict[bytes, int], list[int]]:
+    ranks = {name: encode.encode_single_token(name) for name in encode.token_byte_values()}
+    return ranks, [ranks[bytes([b])] for b in range(256)]
+
+
+def merged_ids(encode, data: bytes) -> list[int]:
+    """Byte-pair merges of one piece: again and again all places, from left to right, of the pair with the least rank.
+
+    The same as one merge at a time, as a merge makes no pair of a lesser rank in a vocabulary that was made by merging. Time
+    grows with the length and the number of different pairs.
+    """
+    ranks, single = vocabulary(encode)
+    names = sorted(set(data))
+    kinds = [(bytes([b]), single[b]) for b in names]  # the tokens met so far
+    row = np.searchsorted(np.array(names, np.uint8), np.frombuffer(data, np.uint8))
+    while len(row) > 1:
+        pairs = np.flatnonzero(np.bincount(row[:-1] * len(kinds) + row[1:], minlength=len(kinds) ** 2))
+        found = [(ranks.get(kinds[p // len(kinds)][0] + kinds[p % len(kinds)][0], None), int(p)) for p in pairs]
+        known = [f for f in found if f[0] is not None]
+        if not known:
+            break
+        rank, pair = min(known)
+        x, y = divmod(pair, len(kinds))
+        at = np.flatnonzero((row[:-1] == x) & (row[1:] == y))
+        if x == y:  # overlapping places: every other one of each stretch
+            begins = np.r_[True, np.diff(at) != 1]
+            nth = np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+            at = at[nth % 2 == 0]
+        kinds.append((kinds[x][0] + kinds[y][0], rank))
+        row[at] = len(kinds) - 1
+        row = np.delete(row, at + 1)
+    return np.array([k for _, k in kinds])[row].tolist()
+
+
 class FreeSpace:
     """Segment tree over free space 0..length; a node counts the open bins below it."""
 
@@ -98,7 +149,7 @@ def _pack_pass(length: int, tokenizer: str, end: int):
         for batch in batches:
             id_type = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode.encode_ordinary(text.as_py() or ""), end], kind)
+                ids = np.array([*text_ids(encode, text.as_py() or ""), end], kind)
                 pieces += [(doc, s, ids[s : s + length]) for s in range(0, len(ids), length)]
                 if len(pieces) >= PIECES:
                     rows, pieces = list(packed(pieces)), []
@@ -124,7 +175,7 @@ def pack_tokens(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZE
     - doc_ids, piece_starts: document of each segment, and where in the document's ids the segment begins
 
     Each document's ids end with ``end``; a longer document is cut every ``length`` ids, so putting its segments in
-    order of piece_starts gives the ids back whole. Null and empty texts are one ``end``. Every task packs the documents
+    order of piece_starts gives the ids back whole. Null and empty texts are one ``end``; white space of any length is encoded whole. Every task packs the documents
     it reads, so nothing is shuffled; a task leaves a few rows partly empty. A row's doc_id may be null or repeated.
     """
     fields = [T.LongType(), T.BinaryType(), T.BinaryType(), T.ArrayType(T.IntegerType()), T.ArrayType(docs.schema["doc_id"].dataType), T.ArrayType(T.IntegerType())]

@@ -68,7 +68,7 @@ def test_contamination_of_odd_rows(spark, frame):
         assert got[20] == (30, 30, ["1"]) and got[21] == (14, 12, ["1"]) and got[22] == (9, 3, [])
         assert got[4] == (12, 4, ["2"]) and got[1] == got[2] == got[3] == (0, 0, [])
     left = {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()}
-    assert left == {1, 2, 3, None, 6, 7, 8}
+    assert left == {1, 2, 3, 6, 7, 8}  # the row without id holds item 2
     assert decontaminate.contamination(frame([]), bench).count() == 0
     assert decontaminate.contamination(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
@@ -83,6 +83,57 @@ def test_proximity_matches(spark, frame):
     assert decontaminate.matches(index, bench).count() == 0
 
 
+# ---- token rows
+
+
+WHITE = [" ", "\n", "\t", "\u3000", "\x85"]
+
+
+def test_white_space_is_merged_as_the_tokenizer_does():
+    encode, rng = token_packing.encoding(token_packing.TOKENIZER), random.Random(6)
+    for _ in range(200):
+        run = "".join(rng.choices(WHITE[: rng.randint(1, 5)], k=rng.randint(1, 300)))
+        assert token_packing.merged_ids(encode, run.encode()) == encode.encode_ordinary(run)
+    for kinds in (" ", "\n", "\t", " \n", "\r\n\t "):
+        run = "".join(rng.choices(kinds, k=9000))
+        for text in (run, f"a{run}b c", f"{run}{run[-1]}1", f"x y{run}", f"{run}\x1cz", f"a{run}b{run}c{run}"):
+            assert token_packing.text_ids(encode, text) == encode.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("kinds", [" ", "\n", "\t", " \n\t"])
+def test_very_long_white_space(frame, kinds):
+    text = "a" + (kinds if len(kinds) == 1 else "".join(random.Random(1).choices(kinds, k=1000))) * (10_000_000 // (1 if len(kinds) == 1 else 1000)) + "b"
+    rows = token_packing.pack_tokens(frame([(1, text)])).collect()
+    pieces = sorted((s, row.ids[2 * p : 2 * q]) for row in rows for s, p, q in zip(row.piece_starts, row.cu_seqlens, row.cu_seqlens[1:], strict=False))
+    ids = np.frombuffer(b"".join(x for _, x in pieces), "<u2")
+    assert ids[-1] == token_packing.END
+    encode = token_packing.encoding(token_packing.TOKENIZER)
+    assert b"".join(map(encode.decode_single_token_bytes, ids[:-1].tolist())) == text.encode()
+
+
+def test_token_query_gives_the_ids_back(spark, sf_dir):
+    encode = token_packing.encoding(token_packing.TOKENIZER)
+    want = collections.Counter()
+    for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect():
+        want[r.doc_id, tuple([*encode.encode_ordinary(r.text or ""), token_packing.END])] += 1
+    found = collections.defaultdict(list)
+    for row in QUERIES["op3_token_output"](spark, sf_dir).collect():
+        ids, places = np.frombuffer(row.ids, "<u2"), np.frombuffer(row.position_ids, "<u2")
+        assert len(ids) == len(places) == token_packing.LENGTH and row.cu_seqlens[0] == 0
+        for doc, s, p, q in zip(row.doc_ids, row.piece_starts, row.cu_seqlens, row.cu_seqlens[1:], strict=False):
+            assert places[p:q].tolist() == list(range(q - p))
+            found[doc].append((s, ids[p:q].tolist()))
+    got = collections.Counter((d, tuple(x for _, ids in sorted(parts) for x in ids)) for d, parts in found.items())
+    assert got == want
+
+
+def test_many_equal_rows(spark):
+    text = " ".join(f"word{i % 331}" for i in range(400))
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).cast("bigint").alias("doc_id"), F.lit(text).alias("text"))
+    found = suffix_dedup.repeated_bytes(rows).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, found), key=repr) == [(7, len(text), len(text), 1, 10_000), (None, len(text), len(text), 1, 10_000)]
+
+
 # ---- SimHash
 
 

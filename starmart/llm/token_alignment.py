@@ -4,14 +4,13 @@ A text is worked on in fragments: the tokens that end within a byte range, as an
 end), closed groups, and an open tail. Joining two neighbouring fragments closes the group between them; joining is
 associative and the empty fragment is neutral, so the fragments of a very long text are made by many tasks and joined in a tree.
 
-Both tokenizers begin anew at a single space between characters that are no white space, so what lies between such spaces (a
-word, as a rule) has its own ids wherever it stands: words are encoded once and looked up after that.
+Both tokenizers begin anew at a single space between characters that are no white space, so the words between such spaces
+have the same ids wherever they stand: a byte range is encoded from the words around it.
 """
 
 from __future__ import annotations
 
 import functools
-import gc
 import itertools
 import json
 import re
@@ -31,14 +30,13 @@ BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 16  # bytes of text in a fragment
 FAN_IN = 8  # fragments joined by one call
-KEPT_WORDS, KEPT_LENGTH = 1 << 16, 64  # words in each generation a worker remembers, and their longest
-ENCODED = 1 << 10  # words encoded at once
-BLOCK_BYTES = 1 << 19  # text looked up at once
+BLOCK_BYTES = 1 << 19  # text aligned at once
 BROADCAST_PAIRS = 2_000_000  # distinct id pairs that are broadcast, 13 bytes each; more are joined by a shuffle
 WORD_BREAK = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
-#: words of which every regular expression engine thinks alike: ASCII and Latin letters
-PLAIN = re.compile("[!-~À-ɏ]{1,64}")
+#: texts of which every regular expression engine thinks alike: ASCII, Latin letters, common punctuation
+PLAIN = re.compile("[\t\n\r -~¡-ɏ‐-‧€]*")
+
 
 
 class Fragment(NamedTuple):
@@ -77,18 +75,21 @@ def groups_of(whole: Fragment) -> str:
     return ";".join(head + whole.closed)
 
 
-class Word(NamedTuple):
+class Aligned(NamedTuple):
     """How many ids space + text has on either side; if sound, its groups and linked pairs."""
 
     sound: bool
     n_a: int
     n_b: int
     groups: str
-    links: tuple[int, ...]
+    links: np.ndarray
+
+
+NONE = Aligned(False, 0, 0, "", np.zeros(0, np.int64))
 
 
 class Tokenizers:
-    """Both tokenizers with the bytes of their tokens, and the words encoded so far."""
+    """Both tokenizers with the bytes of their tokens."""
 
     def __init__(self, byte_file: str, piece_file: str):
         import sentencepiece
@@ -110,8 +111,7 @@ class Tokenizers:
         self.texts = pa.array([f"{i}{c}".encode() for n, end in sides for i in range(n) for c in (",", end)], pa.binary())
         # the space breaks of a text are breaks of both tokenizers only if no piece runs across one
         self.by_words = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces)
-        self.words: dict[str, Word] = {}
-        self.older: dict[str, Word] = {}
+        self.names_a, self.names_b = (pa.array(side, pa.binary()) for side in (self.a_bytes, self.b_bytes))
 
     def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """The ids of space + each text on both sides."""
@@ -119,66 +119,65 @@ class Tokenizers:
         others = iter(self.a.encode_batch([f" {t}" for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
         return [self.plain(f" {t}") if p else next(others).ids for t, p in zip(texts, plain, strict=True)], self.b.encode(texts, num_threads=1)
 
-    def sound(self, text: str, a: list[int], b: list[int]) -> bool:
-        own = f" {text}".encode()
-        return b"".join([self.a_bytes[i] for i in a]) == own == b"".join([self.b_bytes[i] for i in b])
-
-    def aligned(self, texts: list[str]) -> list[Word]:
-        """Words encoded and aligned some at a time."""
-        found: list[Word] = []
-        for start in range(0, len(texts), ENCODED):
-            some = texts[start : start + ENCODED]
-            a, b = self.ids(some)
-            fits = [self.sound(*x) for x in zip(some, a, b, strict=True)]
-            done = iter(self._aligned([x for x, f in zip(a, fits, strict=True) if f], [x for x, f in zip(b, fits, strict=True) if f]))
-            found += [next(done) if f else Word(False, 0, 0, "", ()) for f in fits]
-        return found
-
-    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[Word]:
-        """The same of sound words by their ids, laid end to end."""
+    def aligned(self, texts: list[str]) -> list[Aligned]:
+        """Texts encoded and aligned together."""
+        a, b = self.ids(texts)
+        own = [f" {t}".encode() for t in texts]
+        fits = [x == y == z for x, y, z in zip(_texts_of(self.names_a, a), own, _texts_of(self.names_b, b), strict=True)]
+        done = iter(self._aligned([x for x, f in zip(a, fits, strict=True) if f], [x for x, f in zip(b, fits, strict=True) if f]))
+        return [next(done) if f else NONE for f in fits]
+
+    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[Aligned]:
+        """The same of sound texts by their ids, laid end to end."""
         if not a:
             return []
-        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
-        ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, n_a), (b, n_b)))
+        (ids_a, cuts_a), (ids_b, cuts_b) = _end_to_end(a), _end_to_end(b)
         ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
-        _, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
-        last_a[in_a] = last_b[in_b] = 1
+        ending = np.zeros(ends_a[-1] + 1, bool)
+        ending[ends_a] = True
+        last_b = ending[ends_b]
+        ending[ends_a] = False
+        ending[ends_b] = True
+        last_a = ending[ends_a]
+        in_a, in_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
         # the ids' texts in order of group, then side: each with the separator that follows it
-        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         order = np.empty(len(ids_a) + len(ids_b), np.int64)
-        order[np.arange(len(ids_a)) + np.r_[0, in_b + 1][group_a]] = 2 * ids_a + last_a
-        order[np.arange(len(ids_b)) + (in_a + 1)[group_b]] = 2 * (len(self.a_bytes) + ids_b) + last_b
-        texts = self.texts.take(pa.array(order))
-        text = b"".join(texts.to_pylist()).decode()
-        sizes = np.r_[0, np.cumsum(np.asarray(pc.binary_length(texts)))]
-        text_cuts = sizes[np.cumsum(np.r_[0, n_a + n_b])].tolist()
-        link_cuts = np.searchsorted(in_a, np.r_[0, np.cumsum(n_a)]).tolist()
-        links = self.linked(ids_a[in_a], ids_b[in_b]).tolist()
-        pairs = zip(a, b, itertools.pairwise(text_cuts), itertools.pairwise(link_cuts), strict=True)
-        return [Word(True, len(x), len(y), text[s : e - 1], tuple(links[p:q])) for x, y, (s, e), (p, q) in pairs]
+        order[np.arange(len(ids_a)) + np.r_[0, in_b + 1][np.cumsum(last_a) - last_a]] = 2 * ids_a + last_a
+        order[np.arange(len(ids_b)) + (in_a + 1)[np.cumsum(last_b) - last_b]] = 2 * (len(self.a_bytes) + ids_b) + last_b
+        groups = _cut_bytes(self.texts.take(pa.array(order)), cuts_a + cuts_b)
+        link_cuts, links = np.searchsorted(in_a, cuts_a).tolist(), self.linked(ids_a[in_a], ids_b[in_b])
+        pairs = zip(a, b, groups, itertools.pairwise(link_cuts), strict=True)
+        return [Aligned(True, len(x), len(y), text[:-1].decode(), links[p:q]) for x, y, text, (p, q) in pairs]
 
     def linked(self, a, b):
         return a * len(self.b_bytes) + b
 
-    def look_up(self, texts: list[str]) -> list[Word]:
-        """Each word's ids and groups; words not yet known are encoded together. Two generations of words are kept."""
-        new = dict.fromkeys(t for t in texts if t not in self.words)
-        known = {t: self.older[t] for t in new if t in self.older}
-        unknown = [t for t in new if t not in known]
-        known |= zip(unknown, self.aligned(unknown), strict=True)
-        found = [known[t] if t in known else self.words[t] for t in texts]
-        self.words.update((t, w) for t, w in known.items() if len(t) <= KEPT_LENGTH)
-        if len(self.words) > KEPT_WORDS:
-            self.words, self.older = {}, self.words
-        return found
-
     def breaks(self, text: str) -> list[str]:
         return WORD_BREAK.split(text) if self.by_words else [text]
 
 
+def _end_to_end(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    cuts = np.cumsum([0, *map(len, rows)])
+    return np.fromiter(itertools.chain.from_iterable(rows), np.int64, int(cuts[-1])), cuts
+
+
+def _cut_bytes(parts: pa.Array, cuts: np.ndarray) -> list[bytes]:
+    """The joined bytes of parts cuts[i] to cuts[i + 1]."""
+    if not len(parts):
+        return [b""] * (len(cuts) - 1)
+    _, offsets, data = parts.buffers()
+    at = np.frombuffer(offsets, np.int32)[parts.offset : parts.offset + len(parts) + 1][cuts].tolist()
+    data = memoryview(data) if data is not None else memoryview(b"")
+    return [bytes(data[s:e]) for s, e in itertools.pairwise(at)]
+
+
+def _texts_of(names: pa.Array, rows: list[list[int]]) -> list[bytes]:
+    ids, cuts = _end_to_end(rows)
+    return _cut_bytes(names.take(pa.array(ids)), cuts)
+
+
 def _plain_words(tokenizer, names: list[bytes], letters: dict[str, int]):
-    """An encoder of the same vocabulary that is faster on single words, if its merges come in order of their ids, else None."""
+    """A faster encoder of the same vocabulary, if its merges come in order of their ids, else None."""
     import tiktoken
 
     model = json.loads(tokenizer.to_str())
@@ -210,19 +209,11 @@ def tokenizers(byte_file: str, piece_file: str) -> Tokenizers:
 def _whole_texts(byte_file: str, piece_file: str):
     def run(batches):
         both = tokenizers(byte_file, piece_file)
-        gc.disable()  # words and ids are many and never in cycles
-        try:
-            for whole in batches:
-                for batch in blocks(whole, "text", BLOCK_BYTES):
-                    texts = [both.breaks(t) if t else [] for t in batch.column("text").to_pylist()]
-                    found = iter(both.look_up(list(itertools.chain.from_iterable(texts))))
-                    rows = []
-                    for words in texts:
-                        sound, n_a, n_b, groups, links = zip(*itertools.islice(found, len(words)), strict=True) if words else ((False,), *[()] * 4)
-                        rows.append((sum(n_a), sum(n_b), ";".join(groups), list(itertools.chain.from_iterable(links))) if all(sound) else (0, 0, "", []))
-                    yield _aligned_batch(batch.column("doc_id"), rows)
-        finally:
-            gc.enable()
+        for whole in batches:
+            for batch in blocks(whole, "text", BLOCK_BYTES):
+                texts = batch.column("text").to_pylist()
+                found = iter(both.aligned([t for t in texts if t]))
+                yield _aligned_batch(batch.column("doc_id"), [next(found)[1:] if t else NONE[1:] for t in texts])
 
     return run
 
@@ -230,8 +221,7 @@ def _whole_texts(byte_file: str, piece_file: str):
 def _aligned_batch(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
     """Rows of (ids of a, ids of b, groups, linked pairs) beside their doc_id."""
     cuts = np.cumsum([0, *(len(r[3]) for r in rows)])
-    pairs = np.fromiter(itertools.chain.from_iterable(r[3] for r in rows), np.int64, cuts[-1])
-    links = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(pairs))
+    links = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([NONE.links, *(r[3] for r in rows)]), pa.int64()))
     counts = [pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)]
     return pa.RecordBatch.from_arrays([ids, *counts, pa.array([r[2] for r in rows], pa.string()), links], ["doc_id", "n_a", "n_b", "groups", "links"])
 
@@ -282,46 +272,22 @@ def _cut_texts(chunk: int, byte_file: str, piece_file: str):
     return run
 
 
-def part_of_word(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragment, list[int]]:
-    """The fragment of a sound word's tokens that end behind byte ``start`` of it and not behind ``end``, and its linked pairs."""
-    (all_a,), (all_b,) = both.ids([text])
-    ends_a, ends_b = (np.cumsum(sizes[ids]).tolist() for ids, sizes in ((all_a, both.a_sizes), (all_b, both.b_sizes)))
-    parts, links = [Fragment()], []
-    both_end = set(ends_a) & set(ends_b)
-    cuts = [start, *sorted(e for e in both_end if start < e <= end), end]
-    for n, (low, high) in enumerate(itertools.pairwise(cuts)):
-        a, b = (tuple(i for i, e in zip(ids, ends, strict=True) if low < e <= high) for ids, ends in ((all_a, ends_a), (all_b, ends_b)))
-        closes = n < len(cuts) - 2
-        parts.append(Fragment(True, len(a), len(b), closes, a, b))
-        if closes:
-            links.append(both.linked(a[-1], b[-1]))
-    return functools.reduce(join, parts), links
-
-
-def fragment(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragment, list[int]]:
+def fragment(both: Tokenizers, text: str, start: int, end: int) -> tuple[Fragment, np.ndarray]:
     """The fragment of bytes ``start`` to ``end`` of space + text, and the linked pairs that end there."""
-    breaks = both.breaks(text)
-    words, at = both.look_up(breaks), 0
-    made, links = Fragment(sound=all(w.sound for w in words)), []
-    if not made.sound:
-        return made, links
-    inside: list[Word] = []
-
-    def whole_words() -> Fragment:
-        counts = sum(w.n_a for w in inside), sum(w.n_b for w in inside)
-        return Fragment(True, *counts, True, closed=tuple(w.groups for w in inside)) if inside else Fragment()
-
-    for piece, word in zip(breaks, words, strict=True):
-        size = len(piece.encode()) + 1
-        if start <= at and at + size <= end:
-            inside.append(word)
-            links += word.links
-        elif at + size > start and at < end:
-            own, pairs = part_of_word(both, piece, max(0, start - at), min(size, end - at))
-            made, inside = join(join(made, whole_words()), own), []
-            links += pairs
-        at += size
-    return join(made, whole_words()), links
+    a, b = both.ids([text])
+    if not _texts_of(both.names_a, a) == [f" {text}".encode()] == _texts_of(both.names_b, b):
+        return Fragment(sound=False), NONE.links
+    ids_a, ids_b = np.array(a[0], np.int64), np.array(b[0], np.int64)
+    ends_a, ends_b = np.cumsum(both.a_sizes[ids_a]), np.cumsum(both.b_sizes[ids_b])
+    own_a, own_b = (ends_a > start) & (ends_a <= end), (ends_b > start) & (ends_b <= end)
+    ids_a, ends_a, ids_b, ends_b = ids_a[own_a], ends_a[own_a], ids_b[own_b], ends_b[own_b]
+    _, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+    if not len(in_a):
+        return Fragment(True, len(ids_a), len(ids_b), False, tuple(ids_a.tolist()), tuple(ids_b.tolist())), NONE.links
+    (head_a, *mid_a, tail_a), (head_b, *mid_b, tail_b) = ([tuple(x.tolist()) for x in np.split(ids, at + 1)] for ids, at in ((ids_a, in_a), (ids_b, in_b)))
+    closed = ";".join(map(group_text, mid_a, mid_b))
+    made = Fragment(True, len(ids_a), len(ids_b), True, head_a, head_b, (closed,) if closed else (), tail_a, tail_b)
+    return made, both.linked(ids_a[in_a], ids_b[in_b])
 
 
 _STATE = [("sound", pa.bool_()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("cut", pa.bool_()), *((n, pa.list_(pa.int32())) for n in ("head_a", "head_b")), ("closed", pa.string()), *((n, pa.list_(pa.int32())) for n in ("tail_a", "tail_b")), ("links", pa.list_(pa.int64()))]

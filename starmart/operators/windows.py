@@ -1,9 +1,10 @@
 """Ranks, positions and neighbours within groups, without a task per group.
 
 One plan for all sizes: rows (or, for ranks, distinct scores) are cut into ranges of their sort order (see `ranges`), a
-window works within each range, and at most one row per range carries on what a group has before it. Values are compared
-in their own types. Inputs are read more than once and have to give the same values each time: pass a scan, or a staged
-frame when they are costly or hold sums of floating-point numbers.
+window works within each range, and at most one row per range carries on what a group has before it. Rows are shuffled
+once, to (group, range). Values are compared in their own types. Inputs are read several times, for the keys and order
+columns only but for one, and have to give the same values each time: pass a scan, or a staged frame when they are costly
+or hold sums of floating-point numbers.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.ranges import RANGE, earlier_total, in_ranges
+from starmart.operators.ranges import RANGE, ascending, earlier_total, in_ranges
 
 
 def _match(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
@@ -30,11 +31,13 @@ def rank_within(df: DataFrame, by: list[str], score: str, out: str = "championsh
     the map side and get their rank by an equi-join, which adaptive execution splits if one score is very common.
     """
     best_first = F.col(score).desc_nulls_last()
-    scores = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__rows"))
-    scores = in_ranges(scores, by, [best_first], "scores")
+    placed = in_ranges(df.select(*by, score), by, [F.col(score)])
+    scores = placed.groupBy(*by, RANGE, score).agg(F.count(F.lit(1)).alias("__rows"))
     better = Window.partitionBy(*by, RANGE).orderBy(best_first).rowsBetween(Window.unboundedPreceding, -1)
     ranks = scores.withColumn("__local", F.coalesce(F.sum("__rows").over(better), F.lit(0)))
-    ranks = _match(ranks, F.broadcast(earlier_total(scores, by, F.col("__rows"), "__offset")), [*by, RANGE])
+    # ranges go up, ranks go down: what is better lies in later ranges
+    offsets = earlier_total(placed, by, F.lit(1), "__offset", backwards=True)
+    ranks = _match(ranks, F.broadcast(offsets), [*by, RANGE])
     ranks = ranks.select(*by, score, (F.coalesce("__offset", F.lit(0)) + F.col("__local") + 1).cast("int").alias(out))
     return _match(df, ranks, [*by, score])
 
@@ -63,7 +66,7 @@ def position_within(df: DataFrame, keys: list[str], order_by: list[str], out: st
     Rows equal in all of ``order_by`` share a range: give a tie-break where one value may hold very many rows.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    placed = in_ranges(df, keys, order)
+    placed = in_ranges(df, keys, ascending(order_by))
     local = placed.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, RANGE).orderBy(*order)))
     offsets = F.broadcast(earlier_total(placed, keys, F.lit(1), "__offset"))
     numbered = _match(local, offsets, [*keys, RANGE])
@@ -82,10 +85,9 @@ def previous_value(df: DataFrame, keys: list[str], order_by: list[str], value: s
     Where a key goes on in a later range, its first row there takes the last value of the range before.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    placed = in_ranges(df, keys, order)
+    placed = in_ranges(df, keys, ascending(order_by))
     in_range = Window.partitionBy(*keys, RANGE).orderBy(*order)
-    # nulls sort last: compare "is missing" before the value itself
-    sort_key = F.struct(*[part for c in order_by for part in (F.col(c).isNull(), F.col(c))])
+    sort_key = F.struct(*ascending(order_by))
     last = placed.groupBy(*keys, RANGE).agg(F.max_by(F.col(value), sort_key).alias("__last"))
     along = Window.partitionBy(*keys).orderBy(RANGE)
     carried = last.select(*keys, RANGE, F.lag("__last").over(along).alias("__carried"), F.row_number().over(along).alias("__nth"))

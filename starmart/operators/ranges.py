@@ -37,26 +37,21 @@ def _bounds(df: DataFrame, place: Column, n: int) -> DataFrame:
     however many rows there are, on the map side, and values keep their type.
     """
     hashed = df.select(place.alias("place")).withColumn("hash", F.xxhash64("place"))
+    # not a filter: it would be planned a second time, as a filter of the scan
     share = F.least(F.lit(1.0), F.lit(SAMPLES * n) / F.greatest(F.approx_count_distinct("hash"), F.lit(1)))
     limit = hashed.select((share * F.lit(_HASHES)).cast("bigint")).scalar()
-    sample = hashed.filter(F.pmod("hash", F.lit(_HASHES)) < limit).select(F.sort_array(F.collect_set("place")).alias("s"))
+    picked = hashed.withColumn("limit", limit).select(F.when(F.pmod("hash", F.lit(_HASHES)) < F.col("limit"), F.col("place")))
+    sample = picked.toDF("place").select(F.sort_array(F.collect_set("place")).alias("s"))
     cuts = F.transform(
         F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(n)).cast("int"))
     )
     return sample.select(cuts.alias("cuts"))
 
 
-def in_ranges(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """``df`` with ``__range``, a number that never decreases along (keys, order ascending, nulls first).
-
-    It is an expression over the row's own values and the bounds, a scalar subquery: equal rows share a range, nothing is
-    shuffled or written, and every reader of the frame sees the same ranges. `starmart.windowRanges` sets how many there
-    are (as many as shuffle partitions if unset).
-    """
-    n = _range_count(df)
+def numbered(df: DataFrame, place: Column, n: int, out: str) -> DataFrame:
+    """``df`` with ``out``, the number (0 to n - 1) of the range that ``place`` falls into; it never decreases with it."""
     if n < 2:
-        return df.withColumn(RANGE, F.lit(0))
-    place = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[o.alias(f"o{i}") for i, o in enumerate(order)])
+        return df.withColumn(out, F.lit(0))
     steps = F.lit([1 << i for i in reversed(range(math.ceil(math.log2(n))))])
     # binary search: how many bounds are at or before the row; the one-element array holds the row's place meanwhile
     passed = F.transform(
@@ -68,7 +63,19 @@ def in_ranges(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
         ),
     )
     cut = df.withColumn("__cuts", _bounds(df, place, n).scalar())
-    return cut.withColumn(RANGE, F.get(passed, F.lit(0))).drop("__cuts")
+    return cut.withColumn(out, F.get(passed, F.lit(0))).drop("__cuts")
+
+
+def in_ranges(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """``df`` with ``__range``, a number that never decreases along (keys, order ascending, nulls first).
+
+    It is an expression over the row's own values and the bounds, a scalar subquery: equal rows share a range, nothing is
+    shuffled or written, and every reader of the frame sees the same ranges. `starmart.windowRanges` sets how many there
+    are (as many as shuffle partitions if unset).
+    """
+    keyed = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    place = F.struct(*keyed, *[o.alias(f"o{i}") for i, o in enumerate(order)])
+    return numbered(df, place, _range_count(df), RANGE)
 
 
 def earlier_total(df: DataFrame, keys: list[str], weight: Column, out: str, backwards: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from starmart.operators import deltas, dims, facts, quality
 from starmart.operators.windows import rank_within
 from starmart.plans.registry import hundredths, money, plain, query, table
+from starmart.sources.layout import write_clustered
 from starmart.sources.staging import new_folder, stage
 from starmart.sources.tables import append_table, read_table, upsert_table, write_partitioned
 
@@ -201,6 +202,20 @@ def partitioned_facts(spark, sf_dir):
     return plain(read_table(spark, path).filter("year = 1996"))
 
 
+@query(
+    """SELECT l_returnflag, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_extendedprice
+       FROM lineitem WHERE l_suppkey = (SELECT max(l_suppkey) FROM lineitem) OR l_partkey = (SELECT min(l_partkey) FROM lineitem)"""
+)
+def clustered_facts(spark, sf_dir):
+    path = new_folder(spark, "clustered_facts")
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    write_clustered(lines, path, ["l_returnflag"], ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"])
+    ends = lines.agg(F.max("l_suppkey").alias("supplier"), F.min("l_partkey").alias("part"))
+    wanted = (F.col("l_suppkey") == ends.select("supplier").scalar()) | (F.col("l_partkey") == ends.select("part").scalar())
+    return plain(read_table(spark, path).filter(wanted).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint")))
+
+
 @query(
     """SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_rows FROM orders GROUP BY 1"""
 )

@@ -177,3 +177,19 @@ def test_ranges_agree_with_plain_windows(spark, pairs):
     finally:
         spark.conf.unset(ranges.RANGES)
     assert {r.id: r.rk for r in got} == want_ranks(rows)
+
+
+def test_windows_write_nothing_and_shuffle_rows_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("starmart.sources.staging.new_folder", lambda *_: pytest.fail("a staged copy"))
+    path = f"{tmp_path}/rows"
+    frame(spark, skewed_rows()).withColumn("note", F.lit("x")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for made in (
+        windows.every_nth(df, ["grp"], ["score", "id"], 5),
+        windows.previous_value(df, ["grp"], ["score", "id"], "id", "prev"),
+        windows.rank_within(df, ["grp"], "score", "rk"),
+    ):
+        plan = made._jdf.queryExecution().executedPlan().toString().split("\n")
+        scans = [line for line in plan if "FileScan" in line and "note" in line]
+        assert len(scans) == 1  # whole rows are read once; the other scans read keys and order only
+        assert not any("RoundRobin" in line or "rangepartitioning" in line for line in plan)

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.plans import load, mart_updates, publish, serving
-from starmart.schemas import TABLE_DDL
+from starmart.schemas import CLUSTERED_BY, TABLE_DDL
 from starmart.session import build_session
 from starmart.sources.relational import connection
 from starmart.sources.topics import read_topic, stream_topic
@@ -46,6 +46,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     export.add_argument("--password-env", help="environment variable that holds the password")
     export.add_argument("--driver")
 
+    laying = commands.add_parser("layout", help="rewrite a fact table for filters on several columns")
+    laying.add_argument("table", choices=list(CLUSTERED_BY))
+    laying.add_argument("--warehouse", required=True)
+    laying.add_argument("--seasons", type=int, nargs="+")
+
     refresh = commands.add_parser("marts", help="refresh the marts")
     refresh.add_argument("--warehouse", required=True)
     refresh.add_argument("--seasons", type=int, nargs="*")
@@ -100,6 +105,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "export":
         password = args.password_env and os.environ[args.password_env]
         load.export_table(spark, args.warehouse, args.table, connection(args.url, args.user, password, args.driver))
+    elif args.command == "layout":
+        load.lay_out(spark, args.warehouse, args.table, args.seasons)
     elif args.command == "marts":
         load.refresh_marts(spark, args.warehouse, args.seasons)
     elif args.command == "check":

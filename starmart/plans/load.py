@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from starmart.functions.scalars import entity_key
 from starmart.functions.text import parse_time
-from starmart.operators import clean, decode, dims, events, facts, marts, quality
+from starmart.operators import clean, decode, deltas, dims, events, facts, marts, quality
 from starmart.schemas import (
+    CLUSTERED_BY,
     FALSE_BY_DEFAULT,
     MAX_LENGTH,
     NATURAL_KEY,
@@ -28,7 +29,7 @@ from starmart.schemas import (
     message_schema,
     table_schema,
 )
-from starmart.sources import versions
+from starmart.sources import layout, versions
 from starmart.sources.relational import append_relation, read_relation
 from starmart.sources.staging import cleans_up, stage
 from starmart.sources.tables import (
@@ -282,6 +283,28 @@ def export_table(spark: SparkSession, warehouse: str, table: str, link: dict, **
     append_relation(stage(rows.join(known, keys, "left_anti"), "export"), link, table)
 
 
+def lay_out(spark: SparkSession, warehouse: str, table: str, seasons: list[int] | None = None) -> versions.Manifest | None:
+    """Rewrite a fact table's partitions (of the given seasons, else all) so that filters on any of its clustering columns
+    read few row groups.
+
+    Loads sort by driver alone, which is cheap for the races they touch; this is for races that are done. The rows stay the
+    same: it is a version without changes, so marts that follow the table have nothing to do. None if the table is not there.
+    """
+    path, parts, columns = f"{warehouse}/{table}", PARTITIONED_BY[table], CLUSTERED_BY[table]
+    before = versions.manifest(spark, path)
+    if before is None:
+        return None
+    rows = versions.read_version(spark, path, before, table_schema(table))
+    none = rows.limit(0)
+    changes = deltas.change_rows(none, none, NATURAL_KEY[table], ["ingested_at"]) if table in FOLLOWED else None
+    if seasons is not None:
+        rows = rows.filter(F.col("year").isin(seasons))
+    dealt = layout.clustered(rows, parts, columns, SORTED_BY[table])
+    return versions.replace_partitions(
+        dealt, path, parts, before=before, changes=changes, options=layout.bloom_options(columns), dealt=True
+    )
+
+
 def refresh_marts(spark: SparkSession, warehouse: str, seasons: list[int] | None = None) -> None:
     """Bring the marts up to date, with those of the given seasons recomputed from the facts (of all seasons if None)."""
     if seasons is None:

@@ -146,6 +146,14 @@ SORTED_BY = {
 }
 
 
+# columns that `plans.load.lay_out` makes files selective on, all alike
+CLUSTERED_BY = {
+    "fact_race_result": ["driver_id", "team"],
+    "fact_pit_stop": ["driver_id", "compound"],
+    "fact_telemetry": ["driver_id", "sample_no"],
+}
+
+
 def message_schema(event_type: str) -> T.StructType:
     return T.StructType.fromDDL(MESSAGE_DDL[event_type])
 

@@ -7,9 +7,11 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.plans import load
+from starmart.schemas import table_schema
 from starmart.sources.layout import interleave, interleaved, write_clustered
 from starmart.sources.staging import stage
-from starmart.sources.tables import read_table, write_partitioned
+from starmart.sources.tables import read_table, upsert_table, write_partitioned
 
 
 def row_groups(path):
@@ -90,3 +92,25 @@ def test_bloom_filters_on_columns_of_many_values(spark, tmp_path):
     offsets = {columns.get(i).getPath().toDotString(): columns.get(i).getBloomFilterOffset() for i in range(columns.size())}
     reader.close()
     assert offsets["driver_id"] > 0
+
+
+def test_a_laid_out_fact_table_keeps_its_rows_and_has_no_changes(spark, tmp_path):
+    schema, path = table_schema("fact_race_result"), f"{tmp_path}/fact_race_result"
+    assert load.lay_out(spark, str(tmp_path), "fact_race_result") is None
+    rows = spark.range(400).select(
+        *[
+            {
+                "year": F.lit(2023) + F.col("id") % 2, "round": F.col("id") % 3, "driver_id": F.concat(F.lit("D"), F.col("id")),
+                "team": F.when(F.col("id") % 9 > 0, F.concat(F.lit("team"), F.col("id") % 11)), "points": F.col("id") % 26,
+            }.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+    first = upsert_table(spark, path, rows, ["year", "round", "driver_id"], ["ingested_at"], ["year", "round"], ["driver_id"], keep_changes=True)
+    after = load.lay_out(spark, str(tmp_path), "fact_race_result", [2024])
+    assert after.version == first.version + 1 and set(after.commits) == set(first.commits)
+    moved = {p for p in after.commits if after.commits[p] != first.commits[p]}
+    assert len(moved) == 3 and all("year=2024" in p for p in moved)
+    assert spark.read.parquet(f"{path}/{after.changes}").count() == 0
+    back = read_table(spark, path, schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.select(*schema.names).collect()))

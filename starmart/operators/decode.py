@@ -13,14 +13,13 @@ MISFIT = "_misfit"
 REASON = "_reason"
 
 
-def _ends_with_object(text: Column) -> Column:
-    """Whether a text that begins an array with one object ends there.
+def _end_mark(text: Column) -> Column:
+    """A text that the JSON put behind ``text`` holds to show that it was reached.
 
-    Only ``]`` right behind an object could close the brackets put around the text and hide what follows. Such a text is read
-    once more with a field behind it: for that to be found the object would have to be followed by ``,``, not ``]``.
+    Only ``]`` right behind an object could close the brackets put around the text and hide what follows, an end made up in the
+    text included. Where there is one the mark is as long as the text, so that it can't be found inside.
     """
-    again = F.from_json(F.concat(F.lit('{"message":'), text, F.lit(',"end":1}')), T.StructType([T.StructField("end", T.IntegerType())]))
-    return F.when(text.rlike(r"\}\s*\]"), F.coalesce(again["end"] == 1, F.lit(False))).otherwise(True)
+    return F.when(text.rlike(r"\}\s*\]"), F.repeat(F.lit("x"), F.length(text))).otherwise("")
 
 
 def decode_messages(
@@ -36,13 +35,17 @@ def decode_messages(
     """
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
     text = F.col(value).cast("string")
-    # in brackets, whatever stands behind the first object breaks the array or makes it longer
-    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(as_text))
+    end = "__end"
+    while end in schema.names:
+        end = f"_{end}"
+    # in brackets and with an end mark, whatever stands behind the first object breaks the array, makes it longer or hides the mark
+    item = T.StructType([*as_text, T.StructField(end, T.StringType())])
+    items = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{end}":"'), _end_mark(text), F.lit('"}]')), T.ArrayType(item))
     raw = raw.select(*(keep or []), text.alias("__text"), items.alias("__items"))
     text = F.col("__text")
     # inline() makes the parsed fields columns of their own, so that a later filter on one of
     # them works on the parsed text and does not parse the message a second time
-    one = (F.size("__items") == 1) & F.get("__items", F.lit(0)).isNotNull() & _ends_with_object(text)
+    one = (F.size("__items") == 2) & F.get("__items", F.lit(0)).isNotNull() & (F.get("__items", F.lit(1))[end] == _end_mark(text))
     whole = F.struct(F.coalesce(one, F.lit(False)).alias("__one"), *[F.get("__items", F.lit(0))[n].alias(f"__{n}") for n in as_text.names])
     parsed = raw.select(*(keep or []), "__text", F.inline(F.array(whole)))
     unreadable = F.when(~F.col("__one"), F.coalesce(F.col("__text"), F.lit("")))

@@ -17,11 +17,11 @@ def _stream(spark, sf_dir, name):
     return streams.stream_files(spark, sf_dir, table(spark, sf_dir, name).schema, names=f"{name}.parquet")
 
 
-def _in_files(spark, rows, files=3):
-    """``rows`` as a stream of so many files, one a micro-batch."""
-    path = new_folder(spark, "stream_files")
-    rows.repartition(files).write.parquet(path)
-    return streams.stream_files(spark, path, rows.schema, max_files=1)
+def _in_files(spark, rows, batches=3):
+    """``rows`` as a stream of so many micro-batches, each of a file per core: a file that is one row group is read by one task."""
+    path, files = new_folder(spark, "stream_files"), spark.sparkContext.defaultParallelism
+    rows.repartition(batches * files).write.parquet(path)
+    return streams.stream_files(spark, path, rows.schema, max_files=files)
 
 
 @query(

@@ -64,3 +64,12 @@ def test_live_standings_equal_batch_standings(spark, tmp_path):
     )
     columns = ["year", "driver_id", "total_points", "championship_rank"]
     assert sorted(map(tuple, live.select(columns).collect())) == sorted(map(tuple, batch.select(columns).collect()))
+
+
+def test_a_micro_batch_is_spread_over_the_cores(spark):
+    rows = spark.range(1000).withColumn("value", F.lit("x"))
+    sizes = []
+    stream = stream_queries._in_files(spark, rows)
+    streams.each_batch(stream, new_folder(spark, "spread"), lambda batch, _: sizes.append(batch.groupBy(F.input_file_name()).count().collect()))
+    assert sum(r["count"] for files in sizes for r in files) == 1000
+    assert [len(files) for files in sizes] == [spark.sparkContext.defaultParallelism] * 3

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -219,31 +220,50 @@ def _string_pass(length: int):
     return run
 
 
-def _cover_pass(length: int):
+def _merge_pass(length: int):
+    """Of each row the stretches of bytes (first byte, and the byte behind it) that its starts (first start, their number) cover."""
+
     def run(batches):
         for batch in batches:
-            sizes, removed, spans, kept = [], [], [], []
-            for text, marks in zip(batch.column(1), batch.column(2), strict=True):
-                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                gone = np.zeros(len(data), bool)
-                if marks.is_valid:
-                    low, n = (np.asarray(marks.values.field(f)) for f in ("low", "n"))
-                    steps = np.zeros(len(data) + 1, np.int64)
-                    np.add.at(steps, low, 1)
-                    np.add.at(steps, low + n - 1 + length, -1)
-                    gone = np.cumsum(steps[:-1]) > 0
-                sizes.append(len(data))
-                removed.append(int(gone.sum()))
-                spans.append(int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(gone) else 0)
-                kept.append(data[~gone].tobytes() if removed[-1] else data.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes"],
-            )
+            if not batch.num_rows:
+                continue
+            starts = np.asarray(batch.column(2).flatten())
+            of = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(batch.column(2))))
+            low, n = starts >> 32, starts & 0xFFFFFFFF
+            order = np.lexsort((low, of))
+            of, low, n = of[order], low[order], n[order]
+            reach = np.maximum.accumulate(of << 33 | low + n - 1 + length)  # no stretch reaches into the next row
+            heads = np.flatnonzero(np.r_[True, (of << 33 | low)[1:] > reach[:-1]])
+            ends = reach[np.r_[heads[1:], len(low)] - 1] & (1 << 33) - 1
+            offsets = np.r_[0, np.cumsum(np.bincount(of[heads], minlength=batch.num_rows))].astype(np.int32)
+            merged = pa.ListArray.from_arrays(pa.array(offsets), pa.array(low[heads] << 32 | ends))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), merged], batch.schema.names)
 
     return run
 
 
+def _cover_pass(batches):
+    for batch in batches:
+        sizes, removed, spans, kept = [], [], [], []
+        for text, marks in zip(batch.column(1), batch.column(2), strict=True):
+            data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+            gone = np.zeros(len(data), bool)
+            if marks.is_valid:
+                marked = np.asarray(marks.values)
+                steps = np.zeros(len(data) + 1, np.int64)
+                np.add.at(steps, marked >> 32, 1)
+                np.add.at(steps, marked & 0xFFFFFFFF, -1)
+                gone = np.cumsum(steps[:-1]) > 0
+            sizes.append(len(data))
+            removed.append(int(gone.sum()))
+            spans.append(int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(gone) else 0)
+            kept.append(data[~gone].tobytes() if removed[-1] else data.tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(kept, pa.binary())],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes"],
+        )
+
+
 def _only(docs: DataFrame, keys: DataFrame, max_filter_bits: int) -> DataFrame:
     """Documents that may be among ``keys``, by a Bloom filter of bounded size, so that few texts are shuffled to the join."""
     packed = docs.sparkSession.sparkContext.broadcast(
@@ -286,9 +306,8 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, max_fi
     runs = sorted_runs(entries, "suffix-runs")
     unstage(entries)  # what sorted_runs returns reads what it has written itself
     marks = (
-        # equal rows have equal marks: once for all of them
-        runs.filter("mixed AND first").select("doc_id", "text_key", "low", "n", "twice").distinct()
-        .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n", "twice")).alias("marks"))
+        # equal rows have equal marks: once for all of them, as a set that tasks begin before the shuffle
+        runs.filter("mixed AND first").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("low", "n", "twice")).alias("marks"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "marks")
     )
     marks = stage_table(marks, "suffix-partial")
@@ -298,13 +317,15 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, max_fi
     strings = stage_table(strings, "strings")
     again = sorted_runs(strings, "string-runs").filter("twice AND low >= 0")
     unstage(strings)
-    spans = (
-        runs.filter("twice").unionByName(again).select("doc_id", "text_key", "low", "n").distinct()
-        .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
-        .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")
+    # starts are shuffled once, to their rows, and the few stretches they make go on to the texts
+    starts = (
+        runs.filter("twice").unionByName(again)
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
+        .agg(F.collect_set(F.shiftleft(F.col("low").cast("bigint"), 32) + F.col("n")).alias("spans"))
     )
+    spans = starts.mapInArrow(_merge_pass(length), starts.schema)
     result = T.StructType([docs.schema["doc_id"], *(T.StructField(k, T.LongType()) for k in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType())])
-    return texts.join(spans, match, "left").select("doc_id", "text", "spans").mapInArrow(_cover_pass(length), result)
+    return texts.join(spans, match, "left").select("doc_id", "text", "spans").mapInArrow(_cover_pass, result)
 
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:

@@ -258,6 +258,29 @@ def test_multikey_order():
     assert [tuple(k[i] for k in keys) for i in order] == sorted(zip(*keys, strict=True))
 
 
+def test_starts_are_shuffled_to_their_rows_only(frame):
+    plan = suffix_dedup.drop_repeats(frame([(1, "ab c " * 90), (2, "ab c " * 90), (2, "ab c " * 90)]))._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\((.*)", plan)
+    assert keys and not any(re.search(r"\b(low|n)#", k) for k in keys)
+
+
+def test_starts_merge_into_stretches():
+    chance = np.random.default_rng(5)
+    rows = [[(int(a), int(k)) for a, k in zip(chance.integers(0, 3000, c), chance.integers(1, 90, c), strict=True)] for c in chance.integers(1, 40, 60)]
+    rows.append([(2**31 - 400, 101), (0, 1)])
+    packed = pa.RecordBatch.from_arrays([pa.array(range(61)), pa.array(range(61)), pa.array([[a << 32 | k for a, k in r] for r in rows])], ["_doc", "_key", "spans"])
+    (got,) = suffix_dedup._merge_pass(200)([packed.slice(0, 0), packed.slice(3)])
+    assert got.column(0).to_pylist() == list(range(3, 61))
+    for row, spans in zip(rows[3:], got.column(2).to_pylist(), strict=True):
+        want = []
+        for a, k in sorted(row):
+            if want and a <= want[-1][1]:
+                want[-1][1] = max(want[-1][1], a + k + 199)
+            else:
+                want.append([a, a + k + 199])
+        assert [[s >> 32, s & 0xFFFFFFFF] for s in spans] == want
+
+
 def test_suffix_query_is_brute_force_at_the_small_size(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [(r.doc_id, (r.text or "").encode()) for r in table(spark, sf_dir, "documents").collect()]

@@ -25,6 +25,10 @@ def message_key(*columns: str) -> Column:
     return F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in columns])
 
 
+#: how every text begins that reads as a real number, the spellings of infinity and NaN among them
+REAL_START = r"^[\x00-\x20]*[+-]?([0-9.]|(?i:inf|nan))"
+
+
 def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
@@ -48,13 +52,13 @@ def lenient(raw: Column, target: T.DataType) -> Column:
         return raw
     text = number_text(raw)
     if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        # a failed cast costs an exception per row, so the common "5.0" must not be tried as a BIGINT
+        # a failed cast costs an exception per row, so the common "5.0" must not be tried as a BIGINT, nor words as a number
         real = text.try_cast("double")
         whole = F.when(real == F.floor(real), real.try_cast("bigint"))
         digits = text.rlike(r"^[+-]?[0-9]{1,19}$")
-        return F.when(digits, text.try_cast("bigint")).otherwise(whole).try_cast(target)
+        return F.when(digits, text.try_cast("bigint")).when(text.rlike(REAL_START), whole).try_cast(target)
     if isinstance(target, (T.DoubleType, T.FloatType)):
-        return nan_to_null(text.try_cast(target))
+        return nan_to_null(F.when(text.rlike(REAL_START), text.try_cast(target)))
     return text.try_cast(target)
 
 

@@ -40,7 +40,10 @@ def decode_messages(
         end = f"_{end}"
     # in brackets and with an end mark, whatever stands behind the first object breaks the array, makes it longer or hides the mark
     item = T.StructType([*as_text, T.StructField(end, T.StringType())])
-    items = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{end}":"'), _end_mark(text), F.lit('"}]')), T.ArrayType(item))
+    bracketed = F.concat(F.lit("["), text, F.lit(f',{{"{end}":"'), _end_mark(text), F.lit('"}]'))
+    # a text that does not begin and end like an object is none; the parser would find that out by exceptions, message by message
+    bare = F.btrim(text, F.lit(" \t\r\n"))
+    items = F.from_json(F.when(bare.startswith("{") & bare.endswith("}"), bracketed), T.ArrayType(item))
     raw = raw.select(*(keep or []), text.alias("__text"), items.alias("__items"))
     text = F.col("__text")
     # inline() makes the parsed fields columns of their own, so that a later filter on one of
@@ -50,9 +53,16 @@ def decode_messages(
     parsed = raw.select(*(keep or []), "__text", F.inline(F.array(whole)))
     unreadable = F.when(~F.col("__one"), F.coalesce(F.col("__text"), F.lit("")))
     values = {f.name: F.when(F.col("__one"), lenient(F.col(f"__{f.name}"), f.dataType)) for f in schema}
+    if misfits:
+        # values are parsed once, for themselves and for what is said of them
+        own = "__value_"
+        while any(c.lower().startswith(own) for c in [*parsed.columns, *(keep or [])]):
+            own = f"_{own}"
+        parsed = parsed.select("*", *[v.alias(f"{own}{n}") for n, v in values.items()])
+        values = {n: F.col(f"{own}{n}") for n in values}
     columns = [value.alias(name) for name, value in values.items()]
     if misfits:
-        lost = [F.when(has_number_text(F.col(f"__{n}")) & v.isNull() & F.col("__one"), F.lit(n)) for n, v in values.items()]
+        lost = [F.when(v.isNull() & F.col("__one") & has_number_text(F.col(f"__{n}")), F.lit(n)) for n, v in values.items()]
         columns.append(F.nullif(F.concat_ws(",", *lost), F.lit("")).alias(MISFIT))
     return parsed.select(*(keep or []), *columns, unreadable.alias(CORRUPT))
 

@@ -17,10 +17,14 @@ def _stream(spark, sf_dir, name):
     return streams.stream_files(spark, sf_dir, table(spark, sf_dir, name).schema, names=f"{name}.parquet")
 
 
-def _in_files(spark, rows, batches=3):
-    """``rows`` as a stream of so many micro-batches, each of a file per core: a file that is one row group is read by one task."""
+def _in_files(spark, rows, batches=3, columns=("*",)):
+    """``rows`` as a stream of so many micro-batches, each of a file per core: a file that is one row group is read by one task.
+
+    That task only reads and deals out; ``columns`` are made of what it has dealt.
+    """
     path, files = new_folder(spark, "stream_files"), spark.sparkContext.defaultParallelism
-    rows.repartition(batches * files).write.parquet(path)
+    rows = rows.repartition(batches * files).select(*columns)
+    rows.write.parquet(path)
     return streams.stream_files(spark, path, rows.schema, max_files=files)
 
 
@@ -68,7 +72,7 @@ def stream_quarantine(spark, sf_dir):
         F.concat(F.lit('{"position": 4.0, "round": "'), key, F.lit('"}')),
     ]
     value = F.element_at(F.array(*kinds), (F.col("o_orderkey") % 6 + 1).cast("int"))
-    messages = _in_files(spark, table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")))
+    messages = _in_files(spark, table(spark, sf_dir, "orders").select("o_orderkey"), columns=["o_orderkey", value.alias("value")])
     path, schema = new_folder(spark, "stream_quarantine"), T.StructType.fromDDL("round bigint, position int")
     rules = {"position_known": F.col("position").isNotNull()}
     streams.split_stream(messages, schema, path, new_folder(spark, "stream_quarantine_progress"), rules, keep=["o_orderkey"])

@@ -74,10 +74,13 @@ def split_stream(
         rows = stage(decode.with_reason(rows, own).withColumns({"__at": at, "batch": F.lit(batch_id).cast("bigint")}), "split")
         good = rows.filter(F.col(decode.REASON).isNull())
         bad = rows.filter(F.col(decode.REASON).isNotNull()).drop("__at")
-        versions.replace_partitions(bad, bad_path, ["batch"])
-        latest = max(filter(None, [limit, good.agg(F.max("__at")).first()[0]]), default=None)
+        # all rows are of one partition, so they are dealt out evenly and not by it
+        versions.replace_partitions(bad.hint("rebalance"), bad_path, ["batch"], dealt=True)
+        newest = None if event_time is None else good.agg(F.max("__at")).first()[0]
+        latest = max(filter(None, [limit, newest]), default=None)
         told = {"batch": batch_id} | {k: v for k, v in (("before", limit), ("latest", latest)) if v is not None}
-        versions.replace_partitions(good.drop("__at", decode.REASON, decode.CORRUPT, decode.MISFIT), good_path, ["batch"], marks=told)
+        good = good.drop("__at", decode.REASON, decode.CORRUPT, decode.MISFIT).hint("rebalance")
+        versions.replace_partitions(good, good_path, ["batch"], marks=told, dealt=True)
 
     each_batch(raw, checkpoint, lambda batch, batch_id: split(batch.sparkSession, batch, batch_id))
 

@@ -55,6 +55,30 @@ def test_filter_on_a_field_parses_once(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
 
 
+def test_values_are_parsed_once_for_themselves_and_for_misfits(spark):
+    df = decode.decode_messages(texts(spark, '{"n": 1}'), T.StructType.fromDDL("n int"), misfits=True)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("as double) = ") == 1
+
+
+def test_texts_that_are_no_number_or_no_object(spark):
+    schema = T.StructType.fromDDL("n int, `value_n` double")
+    fields = ["third", " 3 ", "+7", "-2.0", ".5e1", "0x1p3", "8d", "inf", "-Infinity", "NAN", "3rd", "١", "1e30", "\u00053"]
+    found = decode.decode_messages(texts(spark, *[json.dumps({"n": t, "value_n": t}) for t in fields]), schema, keep=["id"], misfits=True)
+    # what Spark's own cast makes of the text, without a test before it
+    asked = texts(spark, *fields).select("id", F.col("value").try_cast("double").alias("r"))
+    want = {r.id: None if r.r is None or r.r != r.r else r.r for r in asked.collect()}
+    rows = {r.id: r for r in found.collect()}
+    assert {i: rows[i].value_n for i in want} == want
+    whole = {i: int(v) if v is not None and abs(v) < 2**31 and v == int(v) else None for i, v in want.items()}
+    assert {i: rows[i].n for i in want} == whole
+    for i, t in enumerate(fields):
+        lost = [n for n, v in (("n", whole[i]), ("value_n", want[i])) if v is None and t.lower() != "nan"]
+        assert rows[i]._misfit == (",".join(lost) or None)
+    ends = ['{"n": 1}', ' \t\r\n{"n": 1}\n ', '\x0b{"n": 1}', '{"n": 1}\x0c', '\ufeff{"n": 1}', '{"n": 1', '"n": 1}', '{"n": 1}]', '[{"n": 1}', "}{", "{", "{}"]
+    found = decode.decode_messages(texts(spark, *ends), T.StructType.fromDDL("n int"), keep=["id"])
+    assert {r.id for r in found.collect() if r._corrupt_record is None} == {0, 1, len(ends) - 1}
+
+
 def test_json_round_trip_keeps_nulls_and_clears_nan(spark):
     df = spark.createDataFrame([(1, None, float("nan")), (2, "é", 2.5)], "a int, b string, c double")
     got = [json.loads(r.j) for r in df.select(encode_json(df).alias("j")).collect()]

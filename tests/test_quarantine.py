@@ -94,6 +94,17 @@ def test_late_rows_are_kept_apart(spark, tmp_path):
         streams.split_stream(stream, SCHEMA, path, str(tmp_path / "c2"), event_time="at", delay_seconds=3600)
 
 
+def test_a_large_batch_is_written_by_many_tasks(spark, tmp_path):
+    long = F.concat_ws("", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 256) for i in range(16)])
+    rows = spark.range(8000).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit('{"k":1, "at":"'), long, F.lit('"}'))).otherwise(long).alias("value"))
+    rows.write.parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "out")
+    streams.split_stream(streams.stream_files(spark, str(tmp_path / "in"), rows.schema), SCHEMA, path, str(tmp_path / "c"))
+    for kind in ("good", "bad"):
+        written = read_table(spark, f"{path}/{kind}")
+        assert written.count() == 4000 and written.select(F.input_file_name()).distinct().count() > 1
+
+
 def test_a_batch_handed_over_again_replaces_itself(spark, tmp_path):
     stream = stream_of(spark, str(tmp_path / "in"), [at(1, 5), at(2, 1), "x"])
     for run in ("c1", "c2"):
